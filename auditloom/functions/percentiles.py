@@ -1,16 +1,20 @@
 """Exact, linearly interpolated percentiles without holding a group in one task.
 
-The built-in ``percentile`` keeps every distinct value of a group in one buffer.
-Here the values are counted once (a shuffle with map-side combine), counted again in
-coarse buckets whose number is bounded, and only the few buckets that hold a wanted
-rank are looked into: first by 65,536 even slices, then value by value.
+The values are counted once, with map-side combine, into a table of distinct values. If that
+table is small the built-in ``percentile`` reads it. It keeps all distinct values of a group
+in one buffer, so a larger table is narrowed first: the values are counted again in buckets,
+whose number is bounded, and only buckets that hold a wanted rank are kept and cut into finer
+ones, until few enough values are left to walk through one by one.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from auditloom.storage import staged
+
+MAX_VALUES = 1_000_000    # distinct values a task may hold
 BUCKETS_PER_E = 256       # log buckets per factor e: under 400,000 over all doubles
-SLICES = 65_536
+SLICES = 65_536           # even slices a bucket is cut into
 
 
 def _log_bucket(value):
@@ -22,89 +26,100 @@ def _slice(value):
     return F.when(width > 0, F.floor((value - F.col("_lo")) / width * SLICES)).otherwise(F.lit(0))
 
 
-def _narrow(cells, keys, wanted, few):
+def _rank_array(fractions, total):
+    """Both neighbouring ranks of every fraction, and the share of the upper one."""
+    ranks = []
+    for i, fraction in enumerate(fractions):
+        place = F.lit(float(fraction)) * (total - 1)
+        for kind, rank in (("lower", F.floor(place)), ("upper", F.ceil(place))):
+            ranks.append(F.struct(
+                F.lit(i).alias("point"), F.lit(kind).alias("kind"),
+                rank.cast("bigint").alias("rank"), (place - F.floor(place)).alias("share")))
+    return F.array(*ranks)
+
+
+def _inside(ranks, before, size):
+    return F.filter(ranks, lambda r: (r["rank"] >= before) & (r["rank"] < before + size))
+
+
+def _before(size, window):
+    return F.coalesce(F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _narrow(cells, keys, ranks):
     """Keep the cells of the buckets (column ``_bucket``) that hold a wanted rank.
 
-    ``wanted`` turns (rows before, rows in group) into the array of wanted ranks.
-    The kept cells carry ``_ranks``, counted from the start of their bucket.
+    ``ranks`` is the array of wanted ranks of the group ``keys``, in terms of its ``_total``
+    rows. The kept cells carry ``_ranks``, counted from the start of their bucket, its
+    bounds ``_lo`` and ``_hi``, and its number of values ``_values``.
     """
     buckets = cells.groupBy(*keys, "_bucket").agg(
-        F.sum("_n").alias("_size"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"),
-        F.first("_ranks").alias("_ranks"))
+        F.sum("_n").alias("_size"), F.count("*").alias("_values"),
+        F.min("_value").alias("_lo"), F.max("_value").alias("_hi"),
+        *([F.first("_ranks").alias("_ranks")] if "_ranks" in cells.columns else []))
     group = Window.partitionBy(*keys)
-    before = F.coalesce(F.sum("_size").over(
-        group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = F.col("_first")
     buckets = (
-        buckets.withColumn("_before", before)
+        buckets.withColumn("_first", _before("_size", group.orderBy("_bucket")))
         .withColumn("_total", F.sum("_size").over(group))
-        .withColumn("_ranks", wanted)
-        .withColumn("_ranks", F.filter("_ranks", lambda r: (
-            (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_size")))))
+        .withColumn("_ranks", _inside(ranks, first, F.col("_size")))
         .where(F.size("_ranks") > 0)
-        .withColumn("_ranks", F.transform("_ranks", lambda r: r.withField("rank", r["rank"] - F.col("_before"))))
-        .select(*keys, "_bucket", "_lo", "_hi", "_ranks")
+        .withColumn("_ranks", F.transform("_ranks", lambda r: r.withField("rank", r["rank"] - first)))
+        .select(*keys, "_bucket", "_lo", "_hi", "_values", "_ranks")
     )
-    cells = cells.drop("_ranks", "_lo", "_hi")
-    return cells.join(F.broadcast(buckets) if few else buckets, [*keys, "_bucket"])
+    cells = cells.select(*keys, "_bucket", "_value", "_n")
+    return staged(cells.join(staged(buckets, "buckets"), [*keys, "_bucket"]), "cells")
+
+
+def _from_buckets(cells, by, points, max_values):
+    """The percentiles by narrowing; exact for any number of values."""
+    kept = _narrow(
+        cells.withColumn("_bucket", _log_bucket(F.col("_value"))), by,
+        _rank_array(points.values(), F.col("_total")))
+    # Slices of a bucket shrink 65,536-fold each time, so this ends after few rounds.
+    while kept.agg(F.max("_values")).first()[0] > max_values:
+        group = [*by, "_low"]
+        kept = kept.withColumn("_low", F.col("_lo")).withColumn("_bucket", _slice(F.col("_value")))
+        kept = _narrow(kept, group, F.col("_ranks"))
+    bucket = Window.partitionBy(*by, "_lo").orderBy("_value")
+    hits = kept.withColumn("_first", _before("_n", bucket)).select(
+        *by, "_value", F.explode(_inside("_ranks", F.col("_first"), F.col("_n"))).alias("_hit"))
+
+    def pick(i, kind, what):
+        return F.max(F.when((F.col("_hit.point") == i) & (F.col("_hit.kind") == kind), what))
 
+    out = []
+    for i, name in enumerate(points):
+        lower, upper = pick(i, "lower", F.col("_value")), pick(i, "upper", F.col("_value"))
+        out.append((lower + (upper - lower) * pick(i, "lower", F.col("_hit.share"))).alias(name))
+    return hits.groupBy(*by).agg(*out)
 
-def exact_percentiles(df, value, points, by, few_groups=False):
+
+def exact_percentiles(df, value, points, by, max_values=None):
     """One row per group with a column for each entry of ``points`` (name -> fraction).
 
-    Groups with a missing key and missing values are left out. ``few_groups`` says that
-    the number of groups is fixed by the caller, so the wanted buckets may be broadcast.
+    Groups with a missing key and missing values are left out.
     """
+    limit = MAX_VALUES if max_values is None else max_values
     present = F.col(value).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
-    cells = (
+    cells = staged(
         df.where(present).groupBy(*by, F.col(value).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-    )
-    ranks = []
-    for i, fraction in enumerate(points.values()):
-        place = F.lit(float(fraction)) * (F.col("_total") - 1)
-        for kind, rank in (("lower", F.floor(place)), ("upper", F.ceil(place))):
-            ranks.append(F.struct(
-                F.lit(i).alias("point"), F.lit(kind).alias("kind"),
-                rank.cast("bigint").alias("rank"), (place - F.floor(place)).alias("share")))
-    rank_type = "array<struct<point:int,kind:string,rank:bigint,share:double>>"
-
-    cells = (
-        cells.withColumn("_bucket", _log_bucket(F.col("_value")))
-        .withColumn("_ranks", F.lit(None).cast(rank_type))
-    )
-    cells = _narrow(cells, by, F.array(*ranks), few_groups)
-    bucket = [*by, "_outer"]
-    cells = cells.withColumnRenamed("_bucket", "_outer").withColumn("_bucket", _slice(F.col("_value")))
-    cells = _narrow(cells, bucket, F.col("_ranks"), few_groups)
-
-    cell = Window.partitionBy(*bucket, "_bucket").orderBy("_value")
-    before = F.coalesce(
-        F.sum("_n").over(cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    hits = (
-        cells.withColumn("_before", before)
-        .select(*by, "_value", F.explode(F.filter("_ranks", lambda r: (
-            (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_n"))))).alias("_hit"))
-    )
-
-    def pick(i, kind, what):
-        return F.max(F.when((F.col("_hit.point") == i) & (F.col("_hit.kind") == kind), what))
-
-    out = []
-    for i, name in enumerate(points):
-        lower, upper = pick(i, "lower", F.col("_value")), pick(i, "upper", F.col("_value"))
-        share = pick(i, "lower", F.col("_hit.share"))
-        out.append((lower + (upper - lower) * share).alias(name))
-    return hits.groupBy(*by).agg(*out)
+        .agg(F.count("*").alias("_n")), "values")
+    if cells.count() > limit:
+        return _from_buckets(cells, by, points, limit)
+    found = F.percentile(F.col("_value"), F.array(*[F.lit(float(p)) for p in points.values()]), F.col("_n"))
+    return cells.groupBy(*by).agg(found.alias("_p")).select(
+        *by, *[F.col("_p")[i].alias(name) for i, name in enumerate(points)])
 
 
-def column_percentiles(df, columns, points):
+def column_percentiles(df, columns, points, max_values=None):
     """Percentiles of several columns in one pass, as one row of ``<column>_<point>``."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
     ])).alias("_c")).select("_c.column", "_c.value")
-    found = exact_percentiles(long, "value", points, ["column"], few_groups=True)
+    found = exact_percentiles(long, "value", points, ["column"], max_values)
     return found.agg(*[
         F.max(F.when(F.col("column") == c, F.col(p))).alias(f"{c}_{p}") for c in columns for p in points
     ])

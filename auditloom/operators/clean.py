@@ -6,6 +6,7 @@ from auditloom.functions.columns import half_even, step_timestamp, strip
 from auditloom.functions.percentiles import column_percentiles
 from auditloom.operators.neighbours import AnyRepeat, Recent, Repeat, apply_rules
 from auditloom.schema import RAW_COLUMNS
+from auditloom.storage import staged
 
 IMPUTED = ["oldbalanceOrg", "oldbalanceDest"]
 
@@ -31,16 +32,21 @@ def drop_missing_amount(df):
     return df.na.drop(subset=["amount"])
 
 
-def impute_median(df, columns=IMPUTED):
-    """Fill missing balances with the median of the column.
+def balance_medians(df, columns=IMPUTED):
+    """Median of each column, as one row on the driver."""
+    return column_percentiles(df, columns, {"median": 0.5}).first()
+
 
-    The medians are computed when this is called; the fill itself is a projection.
-    """
-    medians = column_percentiles(df, columns, {"median": 0.5}).first()
+def fill_balances(df, medians, columns=IMPUTED):
     return df.withColumns({
         c: F.coalesce(F.col(c), F.lit(medians[f"{c}_median"])) for c in columns})
 
 
+def impute_median(df, columns=IMPUTED):
+    """Fill missing balances with the median of the column, which is computed at once."""
+    return fill_balances(df, balance_medians(df, columns), columns)
+
+
 def normalize_category(df):
     return df.withColumn("type", F.upper(strip(F.col("type"))))
 
@@ -68,15 +74,15 @@ def vendor_features(df):
 
 
 def prepare(df):
-    """All cleaning steps that look at one row at a time, plus the median fill."""
-    df = drop_missing_amount(missing_flags(df))
-    df = normalize_category(impute_median(df))
+    """All cleaning steps that look at one row at a time."""
+    df = normalize_category(drop_missing_amount(missing_flags(df)))
     df = df.withColumn("amount", half_even(F.col("amount"), 2))
     return vendor_features(temporal_features(df))
 
 
 def clean(df, **skew):
-    return apply_rules(prepare(df), "nameOrig", RAW_RULES, **skew)
+    prepared = staged(prepare(df), "prepared")
+    return apply_rules(impute_median(prepared), "nameOrig", RAW_RULES, **skew)
 
 
 def balance_inconsistent(old="old_balance_orig", amount="amount", new="new_balance_orig"):

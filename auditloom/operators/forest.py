@@ -5,14 +5,19 @@ the only thing that passes the driver, which broadcasts them for scoring.
 """
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from auditloom.functions.percentiles import column_percentiles
 from auditloom.storage import staged
 
+# The executors get the functions below with the task, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FEATURES = ["amount", "hour_of_day", "step", "balance_delta_orig"]
 HASH_RANGE = 1 << 31
 

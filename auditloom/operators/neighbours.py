@@ -12,13 +12,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from auditloom.functions.columns import all_present
+from auditloom.operators.ordering import ONE_TASK_ROWS, number_rows, running_start
 from auditloom.operators.skew import lookup, split_heavy
+from auditloom.storage import staged
 
 
 def _answer(rows, cells, keys, flag, decide, spread):
     """Look up the cell of each row by its keys (missing keys are equal) and set the flag."""
     payload = [c for c in cells.columns if c not in keys and c != "_n"]
-    cells = cells.select(F.struct(*keys).alias("_cell"), "_n", *payload)
+    cells = staged(cells.select(F.struct(*keys).alias("_cell"), "_n", *payload), "cells")
     rows = lookup(rows.withColumn("_cell", F.struct(*keys)), cells, ["_cell"], "_n", **spread)
     return rows.withColumn(flag, F.coalesce(decide, F.lit(False))).drop("_cell", *payload)
 
@@ -104,7 +106,7 @@ class Burst:
 
     def windowed(self, rows):
         order = Window.partitionBy(self.user).orderBy(
-            self.time, *[F.asc_nulls_last(c) for c in self.ties], "row_id")
+            *[F.asc_nulls_last(c) for c in (self.time, *self.ties, "row_id")])
         time = F.col(self.time)
         second_back = time - F.lag(self.time, 2).over(order) <= self.span
         next_on = F.lead(self.time).over(order) - time <= self.span
@@ -131,6 +133,35 @@ class Burst:
         return _answer(rows, cells, keys, self.flag, burst, spread)
 
 
+@dataclass(frozen=True)
+class Rank:
+    """Numbers the rows of a user from 1 by time, ``ties`` and row_id."""
+
+    user: str
+    name: str
+    time: str = "step"
+    ties: tuple = ("nameDest", "amount")
+
+    def _order(self):
+        return [F.asc_nulls_last(c) for c in (self.time, *self.ties, "row_id")]
+
+    def windowed(self, rows):
+        order = Window.partitionBy(self.user).orderBy(*self._order())
+        return rows.withColumn(self.name, F.row_number().over(order))
+
+    def aggregated(self, rows, **_):
+        by_user = [F.asc_nulls_last(self.user)]
+        sizes = staged(rows.groupBy(F.col(self.user).alias("_user")).agg(F.count("*").alias("_n")), "sizes")
+        # only heavy users come here, and their number is bounded
+        starts = running_start(sizes, [F.asc_nulls_last("_user")], "_n", "_start")
+        numbered = number_rows(rows, [*by_user, *self._order()], "_number")
+        return (
+            numbered.join(F.broadcast(starts), F.col(self.user).eqNullSafe(F.col("_user")))
+            .withColumn(self.name, F.col("_number") - F.col("_start"))
+            .drop("_user", "_n", "_start", "_number")
+        )
+
+
 def apply_rules(rows, user, rules, heavy_rows=None, attributes=None, **spread):
     """Apply the rules to the rows, whose keys all include ``user``.
 

@@ -12,6 +12,7 @@ from auditloom.functions.percentiles import exact_percentiles
 from auditloom.operators.neighbours import Burst, Recent, Repeat, apply_rules
 from auditloom.operators.skew import lookup
 from auditloom.sources.transactions import with_row_id
+from auditloom.storage import staged
 
 DUPLICATE_KEYS = ("step", "type", "amount", "nameOrig", "nameDest")
 IQR_FACTOR = 2.5
@@ -64,7 +65,7 @@ def category_cutoffs(df, category_col="category", amount_col="amount"):
 def detect_large_transactions(df, category_col="category", amount_col="amount", cutoffs=None, **skew):
     df = with_row_id(df)
     if cutoffs is None:
-        cutoffs = category_cutoffs(df, category_col, amount_col)
+        cutoffs = staged(category_cutoffs(df, category_col, amount_col), "cutoffs")
     df = lookup(df, cutoffs.select(category_col, "n", "cutoff"), [category_col], "n", **skew)
     large = F.coalesce(F.col(amount_col) > F.col("cutoff"), F.lit(False))
     return df.withColumn("flag_large_transaction", large).drop("cutoff")
@@ -89,7 +90,7 @@ def active_vendor_rows(df, vendor_col="vendor_id", **skew):
         df.where(F.col(vendor_col).isNotNull()).groupBy(vendor_col).agg(F.count("*").alias("n"))
         .where(F.col("n") >= ACTIVE_VENDOR_ROWS).withColumn("_active", F.lit(True))
     )
-    return lookup(df, active, [vendor_col], "n", **skew).where("_active").drop("_active")
+    return lookup(df, staged(active, "active"), [vendor_col], "n", **skew).where("_active").drop("_active")
 
 
 def vendor_daily(df, vendor_col="vendor_id", step_col="step"):
@@ -142,7 +143,8 @@ def detect_unusual_timing(df, hour_col="hour_of_day", vendor_col="vendor_id", **
     df = with_row_id(df)
     if hour_col not in df.columns and "timestamp" in df.columns:
         df = df.withColumn(hour_col, F.hour("timestamp"))
-    df = lookup(df, vendor_hour_profile(df, vendor_col, hour_col), [vendor_col], "n", **skew)
+    hours = staged(vendor_hour_profile(df, vendor_col, hour_col), "hours")
+    df = lookup(df, hours, [vendor_col], "n", **skew)
     return df.withColumn("flag_unusual_timing", _timing_flag(hour_col)).drop("p05", "p95")
 
 
@@ -151,13 +153,15 @@ def detect_vendor_spikes(df, vendor_col="vendor_id", step_col="step", **skew):
     days = vendor_rolling_baseline(vendor_daily(df, vendor_col, step_col), vendor_col)
     spikes = days.where("is_vendor_spike_day").groupBy(vendor_col).agg(
         F.sum("rows").alias("n"), F.collect_set("day_bucket").alias("spike_days"))
-    df = lookup(df, spikes, [vendor_col], "n", **skew)
+    df = lookup(df, staged(spikes, "spikes"), [vendor_col], "n", **skew)
     return df.withColumn("flag_vendor_spike", _spike_flag(step_col)).drop("spike_days")
 
 
 def detect_vendor_signals(df, profile=None, **skew):
     """Unusual timing and vendor spikes from one join with the vendor profile."""
-    df = lookup(df, vendor_profile(df) if profile is None else profile, ["vendor_id"], "n", **skew)
+    if profile is None:
+        profile = staged(vendor_profile(df), "vendors")
+    df = lookup(df, profile, ["vendor_id"], "n", **skew)
     return (
         df.withColumn("flag_unusual_timing", _timing_flag("hour_of_day"))
         .withColumn("flag_vendor_spike", _spike_flag("step"))
@@ -213,7 +217,8 @@ def with_concentration(df):
 
 def detect_concentration_hhi(df, user_col="nameOrig", vendor_col="vendor_id", **skew):
     df = with_row_id(df)
-    return with_concentration(lookup(df, user_attributes(df, user_col, vendor_col), [user_col], "_n", **skew))
+    users = staged(user_attributes(df, user_col, vendor_col), "users")
+    return with_concentration(lookup(df, users, [user_col], "_n", **skew))
 
 
 def user_vendor_share(df, user_col="nameOrig", vendor_col="vendor_id"):

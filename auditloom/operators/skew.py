@@ -25,9 +25,10 @@ def split_heavy(rows, key, heavy_rows=None, counts=None):
     if counts is None:
         counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
     counts = counts.select(F.col(key).alias("_heavy"), "_n")
-    heavy = staged(heaviest(counts, "_n", heavy_rows).select("_heavy"), "heavy_keys")
+    heavy = heaviest(counts, "_n", heavy_rows).select("_heavy")
     if heavy.isEmpty():
         return rows, None
+    heavy = staged(heavy, "heavy_keys")
     same = F.col(key).eqNullSafe(F.col("_heavy"))
     return (
         rows.join(F.broadcast(heavy), same, "left_anti"),
@@ -36,7 +37,7 @@ def split_heavy(rows, key, heavy_rows=None, counts=None):
 
 
 def lookup(rows, table, on, weight, broadcast_rows=None, heavy_rows=None):
-    """Left join ``rows`` with ``table``, which has one row per key ``on``.
+    """Left join ``rows`` with the staged ``table``, which has one row per key ``on``.
 
     ``weight`` is the column of ``table`` with the number of rows of each key; it is not
     returned. A small table is broadcast after its rows were counted. For a larger one the
@@ -44,7 +45,6 @@ def lookup(rows, table, on, weight, broadcast_rows=None, heavy_rows=None):
     keys, which match nothing) are spread over all tasks of the shuffle join.
     """
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    table = staged(table, "lookup")
     payload = [c for c in table.columns if c not in on and c != weight]
     if table.limit(limit + 1).count() <= limit:
         return rows.join(F.broadcast(table.drop(weight)), on, "left")

@@ -2,12 +2,13 @@
 
 import time
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.operators.clean import RAW_RULES, prepare
+from auditloom.operators.clean import RAW_RULES, impute_median, prepare
 from auditloom.operators.forest import IsolationForest, with_balance_delta
-from auditloom.operators.neighbours import apply_rules
-from auditloom.operators.ordering import stage_in_order
+from auditloom.operators.neighbours import Rank, apply_rules
+from auditloom.operators.ordering import running_start
 from auditloom.operators.quality import column_profile
 from auditloom.operators.scoring import score
 from auditloom.operators.signals import (
@@ -16,50 +17,67 @@ from auditloom.operators.signals import (
 from auditloom.plans.warehouse import build_tables, save_tables
 from auditloom.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS
 from auditloom.sources.sinks import write_table
-from auditloom.sources.transactions import load
-from auditloom.storage import staged
+from auditloom.sources.transactions import load, with_row_id
+from auditloom.storage import concurrently, spread_small, staged
 
-FINAL_ORDER = [F.asc_nulls_last(c) for c in ("nameOrig", "step", "nameDest", "amount", "row_id")]
+
+def user_table(prepared):
+    """User profile with the number of rows of all earlier users in the final order."""
+    users = staged(user_attributes(prepared), "users")
+    return staged(running_start(users, [F.asc_nulls_last("nameOrig")], "_n", "_rows_before"), "users")
 
 
-def detect(prepared, rules, multivariate=True, use_label=True, **skew):
-    """Add all signals and the score to prepared transactions.
+def detect(prepared, rules, fill=False, multivariate=True, use_label=True, **skew):
+    """Add all signals, the score and the final row number to staged transactions.
 
-    The profiles come from narrow scans; the rows themselves are shuffled once by user
-    for all neighbour rules, and again by vendor only if the vendor profile is too large to
-    broadcast. ``multivariate`` is a forest, True for the default one, or False for none.
+    The profiles come from narrow scans that run side by side. The rows themselves are
+    shuffled once, by user, for all neighbour rules, and again by vendor only if the vendor
+    profile is too large to broadcast. The final order (user, step, destination, amount,
+    row_id) starts with the user, so a row's number is its rank in the user plus the rows
+    of earlier users: no further sort. ``multivariate`` is a forest, True for the default
+    one, or False for none; ``fill`` asks to fill missing balances first.
     """
-    users = staged(user_attributes(prepared), "users")
-    cutoffs = category_cutoffs(prepared)
-    vendors = vendor_profile(prepared)
+    forest = IsolationForest() if multivariate is True else multivariate
+
+    def filled_and_model():
+        rows = impute_median(prepared) if fill else prepared
+        return rows, forest.fit(rows) if forest else None
+
+    users, cutoffs, vendors, (rows, model) = concurrently(
+        prepared.sparkSession,
+        lambda: user_table(prepared),
+        lambda: staged(category_cutoffs(prepared), "cutoffs"),
+        lambda: staged(vendor_profile(prepared), "vendors"),
+        filled_and_model)
+
+    columns = prepared.columns
+    rules = [*rules, *duplicate_rules(columns), velocity_rule(columns), Rank("nameOrig", "_rank")]
+    rows = apply_rules(rows, "nameOrig", rules, attributes=users, **skew)
+    known = users.where("nameOrig IS NOT NULL").agg(F.sum("_n")).scalar()
+    before = F.coalesce(F.col("_rows_before"), known, F.lit(0))
+    rows = rows.withColumn("row_number", before + F.col("_rank")).drop("_rows_before", "_rank")
 
-    rules = [*rules, *duplicate_rules(prepared.columns), velocity_rule(prepared.columns)]
-    rows = apply_rules(prepared, "nameOrig", rules, attributes=users, **skew)
     rows = with_concentration(with_duplicate_flag(rows))
     rows = detect_large_transactions(rows, cutoffs=cutoffs, **skew)
     rows = detect_vendor_signals(rows, vendors, **skew)
-    if multivariate:
-        forest = multivariate if isinstance(multivariate, IsolationForest) else IsolationForest()
-        rows = forest.fit(prepared).transform(rows)
+    if model:
+        rows = model.transform(rows)
     else:
         rows = with_balance_delta(rows).withColumn("flag_multivariate_outlier", F.lit(False))
     return score(rows, use_label)
 
 
 def flag_raw(raw, multivariate=True, use_label=True, **skew):
-    """Raw transactions to the flagged columns in one plan; cleaning shares its shuffle."""
-    rows = detect(prepare(raw), RAW_RULES, multivariate, use_label, **skew)
-    return rows.select("row_id", *FLAGGED_COLUMNS)
+    """Raw transactions to the flagged columns; cleaning and signals share one shuffle."""
+    prepared = staged(spread_small(prepare(raw)), "prepared")
+    rows = detect(prepared, RAW_RULES, True, multivariate, use_label, **skew)
+    return rows.select("row_id", "row_number", *FLAGGED_COLUMNS)
 
 
 def run_anomaly_pipeline(clean, multivariate=True, use_label=True, **skew):
     """All signals and the score for transactions that are already clean."""
-    return detect(clean, [], multivariate, use_label, **skew)
-
-
-def stage_flagged(raw, multivariate=True, use_label=True, **skew):
-    """The flagged table written in its final order; see ``number_rows``."""
-    return stage_in_order(flag_raw(raw, multivariate, use_label, **skew), FINAL_ORDER, "flagged")
+    prepared = staged(spread_small(with_row_id(clean)), "clean")
+    return detect(prepared, [], False, multivariate, use_label, **skew).drop("row_number")
 
 
 def pipeline_summary(flagged):
@@ -75,25 +93,26 @@ def pipeline_summary(flagged):
 def run_full_pipeline(raw, outdir, multivariate=True, formats=("parquet", "csv"), database=None, **skew):
     """Profile, clean, flag, model and write everything; returns (tables, summary, seconds).
 
-    ``raw`` is a DataFrame or a path; ``database`` also saves the star schema as tables there.
+    ``raw`` is a DataFrame with a row_id, or a path; ``database`` also saves the star schema
+    as tables there. Independent writes run side by side.
     """
     started = time.time()
-    spark = raw.sparkSession if hasattr(raw, "sparkSession") else None
-    if spark is None:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.active()
-        raw = load(spark, raw)
-    profile = staged(column_profile(raw), "profile")
-    write_table(profile, outdir, "data_quality_report", ("csv",))
-
-    ordered = stage_flagged(raw, multivariate, **skew)
-    write_table(ordered.select(*CLEAN_COLUMNS), outdir, "clean_transactions", formats)
-    write_table(ordered.select(*FLAGGED_COLUMNS), outdir, "flagged_transactions", formats)
-
-    tables = build_tables(ordered, profile)
-    for name, table in tables.items():
-        write_table(table, outdir, name, formats)
+    if isinstance(raw, str):
+        raw = load(SparkSession.active(), raw)
+    spark = raw.sparkSession
+    profile, flagged = concurrently(
+        spark,
+        lambda: staged(column_profile(raw), "profile"),
+        lambda: staged(flag_raw(raw, multivariate, **skew), "flagged"))
+    tables = build_tables(flagged, profile)
+    outputs = {
+        "clean_transactions": flagged.select(*CLEAN_COLUMNS),
+        "flagged_transactions": flagged.select(*FLAGGED_COLUMNS),
+        **tables,
+    }
+    jobs = [lambda n=n, t=t: write_table(t, outdir, n, formats) for n, t in outputs.items()]
+    jobs.append(lambda: write_table(profile, outdir, "data_quality_report", ("csv",)))
     if database:
-        save_tables(tables, database, f"{outdir}/{database}")
-    summary = pipeline_summary(ordered).first()
+        jobs.append(lambda: save_tables(tables, database, f"{outdir}/{database}"))
+    *_, summary = concurrently(spark, *jobs, lambda: pipeline_summary(flagged).first())
     return tables, summary, time.time() - started

@@ -3,11 +3,10 @@
 from pyspark.sql import functions as F
 
 from auditloom.functions.columns import half_even, money_sum, tiered, title, zero_padded
-from auditloom.operators.ordering import number_rows
 from auditloom.operators.quality import audit_summary
 from auditloom.schema import (
     CATEGORY_INFO, FACT_RENAMES, FLAGGED_COLUMNS, MERCHANT_BRANDS, SIGNALS, VENDOR_TIERS)
-from auditloom.storage import staged
+from auditloom.storage import concurrently, staged
 
 
 def date_key(time):
@@ -81,13 +80,12 @@ def dim_date(df, time_col="timestamp"):
     )
 
 
-def fact_transactions(ordered):
-    """The fact table from a flagged table that was staged in its final order."""
+def fact_transactions(flagged):
+    """The fact table from a flagged table with its final ``row_number``."""
     flags = [
         "is_weekend", "is_night", "flag_exact_duplicate", "flag_near_duplicate", *SIGNALS, "is_flagged"]
-    rows = number_rows(ordered.select(*FLAGGED_COLUMNS, "_task", "_place"))
     return (
-        rows.select(
+        flagged.select(
             F.concat(F.lit("TXN_"), zero_padded(F.col("row_number"))).alias("transaction_id"),
             *FLAGGED_COLUMNS, date_key(F.col("timestamp")).alias("date_key"))
         .withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in flags})
@@ -96,14 +94,19 @@ def fact_transactions(ordered):
     )
 
 
-def build_tables(ordered, profile=None):
+def build_tables(flagged, profile=None):
     """All five tables; the dimensions are staged, so joins know their sizes."""
+    vendors, categories, dates = concurrently(
+        flagged.sparkSession,
+        lambda: staged(dim_vendor(flagged), "dim_vendor"),
+        lambda: staged(dim_category(flagged), "dim_category"),
+        lambda: staged(dim_date(flagged), "dim_date"))
     return {
-        "fact_transactions": fact_transactions(ordered),
-        "dim_vendor": staged(dim_vendor(ordered), "dim_vendor"),
-        "dim_category": staged(dim_category(ordered), "dim_category"),
-        "dim_date": staged(dim_date(ordered), "dim_date"),
-        "data_quality_summary": audit_summary(profile, ordered),
+        "fact_transactions": fact_transactions(flagged),
+        "dim_vendor": vendors,
+        "dim_category": categories,
+        "dim_date": dates,
+        "data_quality_summary": audit_summary(profile, flagged),
     }
 
 

@@ -97,7 +97,7 @@ def _plant(base):
 
 def _spike(spark):
     j = F.col("id")
-    return spark.range(SPIKE_ROWS).select(
+    return spark.range(0, SPIKE_ROWS, 1, 1).select(
         (j + 9 * BILLION).alias("row_id"),
         F.lit(250).cast("bigint").alias("step"),
         F.lit("PAYMENT").alias("type"),

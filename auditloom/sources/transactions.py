@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from auditloom.schema import RAW_COLUMNS, RAW_SCHEMA
-from auditloom.storage import staged
+from auditloom.storage import spread_small, staged
 
 
 def check_columns(df):
@@ -41,7 +41,7 @@ def load(spark, path):
     if "row_id" in df.columns:
         return df
     # Numbers given by the scan depend on its splits: write them once, then read them.
-    return staged(with_row_id(df), "raw")
+    return staged(spread_small(with_row_id(df)), "raw")
 
 
 def staging(df):

@@ -7,6 +7,9 @@ from facts.
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.util import inheritable_thread_target
 
 
 def shared_folder(spark):
@@ -28,3 +31,17 @@ def staged(df, name="stage"):
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df, key="row_id"):
+    """Give an input of fewer splits than cores to all cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, key)
+
+
+def concurrently(spark, *jobs):
+    """Run independent jobs side by side, so small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
