@@ -7,6 +7,8 @@ def write_table(df, folder, name, formats=("parquet", "csv")):
         writer = df.write.mode("overwrite").format(kind)
         if kind == "csv":
             writer = writer.option("header", True)
+            for side in ("Leading", "Trailing"):
+                writer = writer.option(f"ignore{side}WhiteSpace", False)
         writer.save(f"{folder}/{name}.{kind}")
 
 
