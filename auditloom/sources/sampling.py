@@ -21,8 +21,6 @@ def _lowest(rows, n):
     last = counts.where(F.col("_before") < n).orderBy(F.desc("_bucket")).first()
     if last is None:
         return rows.limit(0)
-    if last["_before"] + last["_n"] <= n:
-        return rows
     kept = rows.where(bucket < last["_bucket"])
     edge = rows.where(bucket == last["_bucket"]).orderBy("_order", "row_id").limit(n - last["_before"])
     return kept.unionByName(edge)
