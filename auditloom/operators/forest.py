@@ -61,12 +61,20 @@ def _grow(points, depth, rng):
 
 
 def _mean_length(points, trees, depth):
-    total = np.zeros(len(points))
-    row = np.arange(len(points))
+    n = len(points)
+    columns = np.ascontiguousarray(points.T).ravel()
+    row = np.arange(n, dtype=np.int32)
+    place, value, cut = np.empty(n, dtype=np.int32), np.empty(n), np.empty(n)
+    total = np.zeros(n)
     for feature, threshold, length in trees:
-        slot = np.zeros(len(points), dtype=np.int64)
+        start = (feature * n).astype(np.int32)
+        slot = np.zeros(n, dtype=np.int32)
         for _ in range(depth):
-            slot = 2 * slot + 1 + (points[row, feature[slot]] >= threshold[slot])
+            np.take(start, slot, out=place, mode="clip")
+            place += row
+            np.take(columns, place, out=value, mode="clip")
+            np.take(threshold, slot, out=cut, mode="clip")
+            slot = 2 * slot + 1 + (value >= cut)
         total += length[slot]
     return total / len(trees)
 
@@ -134,7 +142,9 @@ class IsolationForest:
             names = ("feature", "threshold", "length")
             return pd.DataFrame({"tree": [int(key[0])], **{n: [a] for n, a in zip(names, tree)}})
 
-        grown = drawn.groupBy("tree").applyInPandas(
+        # an explicit number, or the few rows would be put into one task
+        tasks = min(self.trees, df.sparkSession.sparkContext.defaultParallelism)
+        grown = drawn.repartition(tasks, "tree").groupBy("tree").applyInPandas(
             grow, "tree int, feature array<int>, threshold array<double>, length array<double>")
         nodes = [
             (np.array(r.feature), np.array(r.threshold), np.array(r.length))

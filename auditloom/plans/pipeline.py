@@ -38,33 +38,31 @@ def detect(prepared, rules, fill=False, multivariate=True, use_label=True, **ske
     one, or False for none; ``fill`` asks to fill missing balances first.
     """
     forest = IsolationForest() if multivariate is True else multivariate
-
-    def filled_and_model():
-        rows = impute_median(prepared) if fill else prepared
-        return rows, forest.fit(rows) if forest else None
-
-    users, cutoffs, vendors, (rows, model) = concurrently(
-        prepared.sparkSession,
+    spark = prepared.sparkSession
+    users, cutoffs, vendors, rows = concurrently(
+        spark,
         lambda: user_table(prepared),
         lambda: staged(category_cutoffs(prepared), "cutoffs"),
         lambda: staged(vendor_profile(prepared), "vendors"),
-        filled_and_model)
-
-    columns = prepared.columns
-    rules = [*rules, *duplicate_rules(columns), velocity_rule(columns), Rank("nameOrig", "_rank")]
-    rows = apply_rules(rows, "nameOrig", rules, attributes=users, **skew)
-    known = users.where("nameOrig IS NOT NULL").agg(F.sum("_n")).scalar()
-    before = F.coalesce(F.col("_rows_before"), known, F.lit(0))
-    rows = rows.withColumn("row_number", before + F.col("_rank")).drop("_rows_before", "_rank")
-
-    rows = with_concentration(with_duplicate_flag(rows))
-    rows = detect_large_transactions(rows, cutoffs=cutoffs, **skew)
-    rows = detect_vendor_signals(rows, vendors, **skew)
+        lambda: impute_median(prepared) if fill else prepared)
+
+    def signalled():
+        columns = prepared.columns
+        every = [*rules, *duplicate_rules(columns), velocity_rule(columns), Rank("nameOrig", "_rank")]
+        out = apply_rules(rows, "nameOrig", every, attributes=users, **skew)
+        known = users.where("nameOrig IS NOT NULL").agg(F.sum("_n")).scalar()
+        before = F.coalesce(F.col("_rows_before"), known, F.lit(0))
+        out = out.withColumn("row_number", before + F.col("_rank")).drop("_rows_before", "_rank")
+        out = with_concentration(with_duplicate_flag(out))
+        out = detect_large_transactions(out, cutoffs=cutoffs, **skew)
+        return detect_vendor_signals(out, vendors, **skew)
+
+    out, model = concurrently(spark, signalled, lambda: forest.fit(rows) if forest else None)
     if model:
-        rows = model.transform(rows)
+        out = model.transform(out)
     else:
-        rows = with_balance_delta(rows).withColumn("flag_multivariate_outlier", F.lit(False))
-    return score(rows, use_label)
+        out = with_balance_delta(out).withColumn("flag_multivariate_outlier", F.lit(False))
+    return score(out, use_label)
 
 
 def flag_raw(raw, multivariate=True, use_label=True, **skew):

@@ -10,6 +10,8 @@ def build_session(master=None, shuffle_partitions=None, app_name="auditloom", **
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # A pipeline has more generated classes than the default cache of 100 holds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Above 2,000 reducers block sizes are averaged; report skewed ones exactly,
         # or the adaptive skew join cannot see a hot partition.
         .config("spark.shuffle.accurateBlockSkewedFactor", "5")
