@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from auditloom.functions.columns import all_present
 from auditloom.operators.ordering import ONE_TASK_ROWS, number_rows, running_start
-from auditloom.operators.skew import lookup, split_heavy
+from auditloom.operators.skew import count_keys, lookup, shuffle_by, split_heavy
 from auditloom.storage import staged
 
 
@@ -168,8 +168,9 @@ def apply_rules(rows, user, rules, heavy_rows=None, attributes=None, **spread):
     ``attributes`` is a table with one row per user, a missing one included, to left join
     while the rows lie together; its column ``_n`` is the number of rows of the user.
     """
-    light, heavy = split_heavy(rows, user, heavy_rows, attributes)
-    light = light.repartition(user)
+    counts = count_keys(rows, user) if attributes is None else attributes
+    light, heavy = split_heavy(rows, user, counts, heavy_rows)
+    light = shuffle_by(light, counts.agg(F.sum("_n")).first()[0], user)
     for rule in rules:
         light = rule.windowed(light)
     if attributes is not None:

@@ -1,31 +1,43 @@
 """Joins and splits that keep working when one key holds a large share of the rows."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditloom.storage import staged
 
-HEAVY_ROWS = 2_000_000     # a key with fewer rows fits one task
-HEAVY_KEYS = 10_000        # so every other key holds at most 1/10,000 of all rows
-BROADCAST_ROWS = 100_000   # largest lookup table sent to every executor
+HEAVY_ROWS = 2_000_000         # a key with fewer rows fits one task
+HEAVY_KEYS = 10_000            # so every other key holds at most 1/10,000 of all rows
+TASK_ROWS = 2_000_000          # rows a task of a row shuffle should get
+BROADCAST_VALUES = 1_000_000   # values of the largest lookup table sent to every executor
 SPREAD = 4_096
 
 
 def heaviest(counts, weight, heavy_rows=None):
     """The at most HEAVY_KEYS rows of ``counts`` whose weight exceeds ``heavy_rows``."""
     floor = HEAVY_ROWS if heavy_rows is None else heavy_rows
-    columns = [c for c in counts.columns if c != weight]
+    columns = [f.name for f in counts.schema if f.name != weight and not isinstance(f.dataType, T.ArrayType)]
     return counts.where(F.col(weight) > floor).orderBy(F.desc(weight), *columns).limit(HEAVY_KEYS)
 
 
-def split_heavy(rows, key, heavy_rows=None, counts=None):
+def shuffle_by(rows, total, *keys, task_rows=TASK_ROWS):
+    """Hash partition ``total`` rows, into more tasks than the session's default if they need them."""
+    tasks = (total or 0) // task_rows
+    if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartition(tasks, *keys)
+    return rows.repartition(*keys)
+
+
+def count_keys(rows, key):
+    """A staged table with the number of rows ``_n`` of every key, a missing one included."""
+    return staged(rows.groupBy(key).agg(F.count("*").alias("_n")), "counts")
+
+
+def split_heavy(rows, key, counts, heavy_rows=None):
     """Split rows into (rows of light keys, rows of heavy keys or None if there are none).
 
-    A missing key counts as a key of its own. ``counts`` may bring the rows ``_n`` per key.
+    ``counts`` is the table of ``count_keys`` or one with the same columns.
     """
-    if counts is None:
-        counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    counts = counts.select(F.col(key).alias("_heavy"), "_n")
-    heavy = heaviest(counts, "_n", heavy_rows).select("_heavy")
+    heavy = heaviest(counts.select(F.col(key).alias("_heavy"), "_n"), "_n", heavy_rows).select("_heavy")
     if heavy.isEmpty():
         return rows, None
     heavy = staged(heavy, "heavy_keys")
@@ -36,17 +48,28 @@ def split_heavy(rows, key, heavy_rows=None, counts=None):
     )
 
 
-def lookup(rows, table, on, weight, broadcast_rows=None, heavy_rows=None):
+def _values(table):
+    """Number of values a row of the table holds, those in arrays included."""
+    arrays = [F.size(f.name) for f in table.schema if isinstance(f.dataType, T.ArrayType)]
+    total = F.lit(len(table.columns))
+    for a in arrays:
+        total = total + a
+    return total
+
+
+def lookup(rows, table, on, weight, broadcast_values=None, heavy_rows=None, spread_by="row_id"):
     """Left join ``rows`` with the staged ``table``, which has one row per key ``on``.
 
     ``weight`` is the column of ``table`` with the number of rows of each key; it is not
-    returned. A small table is broadcast after its rows were counted. For a larger one the
+    returned. A small table is broadcast after its values were counted. For a larger one the
     payload of the heaviest keys is broadcast, and the rows of those keys (and of missing
-    keys, which match nothing) are spread over all tasks of the shuffle join.
+    keys, which match nothing) are spread by a hash of ``spread_by`` over all tasks of the
+    shuffle join.
     """
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    limit = BROADCAST_VALUES if broadcast_values is None else broadcast_values
     payload = [c for c in table.columns if c not in on and c != weight]
-    if table.limit(limit + 1).count() <= limit:
+    size, total = table.agg(F.coalesce(F.sum(_values(table)), F.lit(0)), F.sum(weight)).first()
+    if size <= limit:
         return rows.join(F.broadcast(table.drop(weight)), on, "left")
 
     keys = [f"_k{i}" for i in range(len(on))]
@@ -60,11 +83,11 @@ def lookup(rows, table, on, weight, broadcast_rows=None, heavy_rows=None):
     rows = rows.join(F.broadcast(heavy), match, "left").drop(*keys)
     spread = F.when(
         missing | F.col("_heavy").isNotNull(),
-        1 + F.pmod(F.xxhash64("row_id"), F.lit(SPREAD)),
+        1 + F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)),
     ).otherwise(F.lit(0).cast("bigint"))
     light = table.select(
         *on, F.lit(0).cast("bigint").alias("_spread"), F.struct(*payload).alias("_light"))
-    rows = rows.withColumn("_spread", spread).join(light, [*on, "_spread"], "left")
-    for c in payload:
-        rows = rows.withColumn(c, F.coalesce(F.col(f"_heavy.{c}"), F.col(f"_light.{c}")))
+    rows = shuffle_by(rows.withColumn("_spread", spread), total, *on, "_spread")
+    rows = rows.join(light, [*on, "_spread"], "left")
+    rows = rows.withColumns({c: F.coalesce(F.col(f"_heavy.{c}"), F.col(f"_light.{c}")) for c in payload})
     return rows.drop("_heavy", "_light", "_spread")

@@ -74,5 +74,5 @@ def measures(fact, by=()):
 def with_vendor_tier(tables):
     """Fact rows with the risk tier of their vendor."""
     vendors = tables["dim_vendor"].select("vendor_id", "total_transactions", "vendor_risk_tier")
-    rows = tables["fact_transactions"].withColumn("row_id", F.col("transaction_id"))
-    return lookup(rows, vendors, ["vendor_id"], "total_transactions").drop("row_id")
+    return lookup(
+        tables["fact_transactions"], vendors, ["vendor_id"], "total_transactions", spread_by="transaction_id")

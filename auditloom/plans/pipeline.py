@@ -18,7 +18,7 @@ from auditloom.plans.warehouse import build_tables, save_tables
 from auditloom.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS
 from auditloom.sources.sinks import write_table
 from auditloom.sources.transactions import load, with_row_id
-from auditloom.storage import concurrently, spread_small, staged
+from auditloom.storage import concurrently, staged
 
 
 def user_table(prepared):
@@ -67,14 +67,14 @@ def detect(prepared, rules, fill=False, multivariate=True, use_label=True, **ske
 
 def flag_raw(raw, multivariate=True, use_label=True, **skew):
     """Raw transactions to the flagged columns; cleaning and signals share one shuffle."""
-    prepared = staged(spread_small(prepare(raw)), "prepared")
+    prepared = staged(prepare(raw), "prepared")
     rows = detect(prepared, RAW_RULES, True, multivariate, use_label, **skew)
     return rows.select("row_id", "row_number", *FLAGGED_COLUMNS)
 
 
 def run_anomaly_pipeline(clean, multivariate=True, use_label=True, **skew):
     """All signals and the score for transactions that are already clean."""
-    prepared = staged(spread_small(with_row_id(clean)), "clean")
+    prepared = staged(with_row_id(clean), "clean")
     return detect(prepared, [], False, multivariate, use_label, **skew).drop("row_number")
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from auditloom.functions.columns import half_even, money_sum, tiered, title, zero_padded
 from auditloom.operators.quality import audit_summary
+from auditloom.operators.skew import lookup
 from auditloom.schema import (
     CATEGORY_INFO, FACT_RENAMES, FLAGGED_COLUMNS, MERCHANT_BRANDS, SIGNALS, VENDOR_TIERS)
 from auditloom.storage import concurrently, staged
@@ -122,14 +123,13 @@ def save_tables(tables, database, location):
         writer.saveAsTable(f"`{database}`.`{name}`")
 
 
-def star_join(tables):
+def star_join(tables, **skew):
     """Fact rows with the attributes of all three dimensions."""
     fact = tables["fact_transactions"]
     dates = tables["dim_date"].select("date_key", "full_date", "day_name")
-    vendors = tables["dim_vendor"].select("vendor_id", "vendor_name", "vendor_risk_tier")
     categories = tables["dim_category"].select(
         F.col("category_id").alias("category"), "category_name", "category_risk_profile")
-    return (
-        fact.join(dates, "date_key", "left").join(categories, "category", "left")
-        .join(vendors, "vendor_id", "left")
-    )
+    vendors = tables["dim_vendor"].select(
+        "vendor_id", "total_transactions", "vendor_name", "vendor_risk_tier")
+    rows = fact.join(dates, "date_key", "left").join(categories, "category", "left")
+    return lookup(rows, vendors, ["vendor_id"], "total_transactions", spread_by="transaction_id", **skew)

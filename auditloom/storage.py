@@ -34,7 +34,7 @@ def staged(df, name="stage"):
 
 
 def spread_small(df, key="row_id"):
-    """Give an input of fewer splits than cores to all cores; larger inputs stay as they are."""
+    """Give a scan of fewer splits than cores to all cores; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() * 2 > cores:
         return df

@@ -10,12 +10,13 @@ from auditloom.functions.percentiles import column_percentiles, exact_percentile
 from auditloom.operators.clean import clean, clean_view
 from auditloom.operators.neighbours import AnyRepeat, Burst, Rank, Recent, Repeat, apply_rules
 from auditloom.operators.ordering import number_rows, running_start
-from auditloom.operators.skew import lookup
+from auditloom.operators.skew import lookup, shuffle_by
 from auditloom.plans.pipeline import flag_raw
+from auditloom.plans.warehouse import star_join
 from auditloom.storage import staged
 from tests.frames import random_raw, random_rows
 
-FORCED = {"heavy_rows": 3, "broadcast_rows": 0}
+FORCED = {"heavy_rows": 3, "broadcast_values": 0}
 RULES = [
     Repeat(("step", "type", "amount", "nameOrig", "nameDest"), "copy"),
     AnyRepeat(("step", "type", "amount", "nameOrig", "nameDest"), "any_copy"),
@@ -57,7 +58,7 @@ def brute_force(rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("skew", [{}, FORCED, {"heavy_rows": 60, "broadcast_rows": 5}])
+@pytest.mark.parametrize("skew", [{}, FORCED, {"heavy_rows": 60, "broadcast_values": 9}])
 def test_rules_match_brute_force(spark, seed, skew):
     expected = brute_force(random_rows(seed, 300))
     df = apply_rules(random_raw(spark, seed, 300), "nameOrig", RULES, **skew)
@@ -83,7 +84,7 @@ def test_whole_pipeline(spark):
     assert [r.row_number for r in sorted(rows, key=key)] == list(range(1, len(rows) + 1))
 
 
-@pytest.mark.parametrize("skew", [{}, FORCED, {"heavy_rows": 10**9, "broadcast_rows": 0}])
+@pytest.mark.parametrize("skew", [{}, FORCED, {"heavy_rows": 10**9, "broadcast_values": 0}])
 def test_lookup(spark, skew):
     rows = spark.range(500).select(
         F.col("id").alias("row_id"),
@@ -128,3 +129,20 @@ def test_number_rows_and_running_start(spark):
     for limit in (10**6, 10):
         starts = running_start(staged(df), ["v"], "n", "start", limit).orderBy("v").collect()
         assert [r.start for r in starts] == list(range(0, 2000, 2))
+
+
+def test_shuffle_by_takes_more_tasks_for_more_rows(spark):
+    df = spark.range(1000)
+    assert shuffle_by(df, 1000, "id", task_rows=50).rdd.getNumPartitions() == 20
+    assert shuffle_by(df, 1000, "id").rdd.getNumPartitions() <= 8
+
+
+def test_star_join_with_large_vendor_table(ws):
+    plain = star_join(ws.tables())
+    forced = star_join(ws.tables(), **FORCED).select(*plain.columns)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, forced.collect()))
+
+
+def test_empty_input(spark):
+    empty = random_raw(spark, 1, 5).where("row_id < 0")
+    assert flag_raw(empty).count() == 0
