@@ -1,9 +1,9 @@
 """Rules that compare a transaction with others of the same user.
 
 Every rule has two forms with the same result. ``windowed`` sorts the rows of a user in one
-task; all rules share one shuffle on the user. ``aggregated`` is for users with too many
-rows for a task: it counts the rows per key and hour with map-side combine, compares
-hours (a key has at most as many as the data has hours), and joins the answer back.
+task; all rules share one shuffle on the user. ``cells`` and ``attach`` are for users with too
+many rows for a task: the rows are counted per key and hour with map-side combine, hours are
+compared (a key has at most as many as the data has hours), and the answer is joined back.
 """
 
 from dataclasses import dataclass
@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from auditloom.functions.columns import all_present
 from auditloom.operators.ordering import ONE_TASK_ROWS, number_rows, running_start
 from auditloom.operators.skew import count_keys, lookup, shuffle_by, split_heavy
-from auditloom.storage import staged
+from auditloom.storage import concurrently, staged
 
 
-def _answer(rows, cells, keys, flag, decide, spread):
-    """Look up the cell of each row by its keys (missing keys are equal) and set the flag."""
+def _stage_cells(cells, keys):
     payload = [c for c in cells.columns if c not in keys and c != "_n"]
-    cells = staged(cells.select(F.struct(*keys).alias("_cell"), "_n", *payload), "cells")
+    return staged(cells.select(F.struct(*keys).alias("_cell"), "_n", *payload), "cells")
+
+
+def _attach(rows, cells, keys, flag, decide, spread):
+    """Look up the cell of each row by its keys (missing keys are equal) and set the flag."""
+    payload = [c for c in cells.columns if c not in ("_cell", "_n")]
     rows = lookup(rows.withColumn("_cell", F.struct(*keys)), cells, ["_cell"], "_n", **spread)
     return rows.withColumn(flag, F.coalesce(decide, F.lit(False))).drop("_cell", *payload)
 
@@ -36,10 +40,13 @@ class Repeat:
         order = Window.partitionBy(*self.keys).orderBy("row_id")
         return rows.withColumn(self.flag, F.row_number().over(order) > 1)
 
-    def aggregated(self, rows, **spread):
+    def cells(self, rows):
         cells = rows.groupBy(*self.keys).agg(
             F.count("*").alias("_n"), F.min("row_id").alias("_first"))
-        return _answer(rows, cells, self.keys, self.flag, F.col("row_id") > F.col("_first"), spread)
+        return _stage_cells(cells, self.keys)
+
+    def attach(self, rows, cells, **spread):
+        return _attach(rows, cells, self.keys, self.flag, F.col("row_id") > F.col("_first"), spread)
 
 
 @dataclass(frozen=True)
@@ -52,9 +59,12 @@ class AnyRepeat:
     def windowed(self, rows):
         return rows.withColumn(self.flag, F.count("*").over(Window.partitionBy(*self.keys)) > 1)
 
-    def aggregated(self, rows, **spread):
+    def cells(self, rows):
         cells = rows.groupBy(*self.keys).agg(F.count("*").alias("_n")).withColumn("_many", F.col("_n") > 1)
-        return _answer(rows, cells, self.keys, self.flag, F.col("_many"), spread)
+        return _stage_cells(cells, self.keys)
+
+    def attach(self, rows, cells, **spread):
+        return _attach(rows, cells, self.keys, self.flag, F.col("_many"), spread)
 
 
 @dataclass(frozen=True)
@@ -79,16 +89,19 @@ class Recent:
         near = self._comparable() & (back <= self.gap)
         return rows.withColumn(self.flag, F.coalesce(near, F.lit(False)))
 
-    def aggregated(self, rows, **spread):
+    def cells(self, rows):
         keys = (*self.keys, self.time)
         hours = Window.partitionBy(*self.keys).orderBy(self.time)
         cells = (
             rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("row_id").alias("_first"))
             .withColumn("_back", F.col(self.time) - F.lag(self.time).over(hours))
         )
+        return _stage_cells(cells, keys)
+
+    def attach(self, rows, cells, **spread):
         near = self._comparable() & (
             (F.col("row_id") > F.col("_first")) | F.coalesce(F.col("_back") <= self.gap, F.lit(False)))
-        return _answer(rows, cells, keys, self.flag, near, spread)
+        return _attach(rows, cells, (*self.keys, self.time), self.flag, near, spread)
 
 
 @dataclass(frozen=True)
@@ -113,7 +126,7 @@ class Burst:
         burst = F.coalesce(second_back, F.lit(False)) | F.coalesce(next_on, F.lit(False))
         return rows.withColumn(self.flag, F.col(self.user).isNotNull() & burst)
 
-    def aggregated(self, rows, **spread):
+    def cells(self, rows):
         keys = (self.user, self.time)
         place = []
         for c in self.ties:
@@ -126,11 +139,14 @@ class Burst:
             .withColumn("_next", F.lead(self.time).over(hours) - F.col(self.time))
             .withColumn("_trail", F.sum("_n").over(hours.rangeBetween(-self.span, 0)))
         )
+        return _stage_cells(cells, keys)
+
+    def attach(self, rows, cells, **spread):
         burst = F.col(self.user).isNotNull() & (
             (F.col("row_id") != F.col("_last"))
             | F.coalesce(F.col("_next") <= self.span, F.lit(False))
             | (F.col("_trail") >= 3))
-        return _answer(rows, cells, keys, self.flag, burst, spread)
+        return _attach(rows, cells, (self.user, self.time), self.flag, burst, spread)
 
 
 @dataclass(frozen=True)
@@ -149,14 +165,15 @@ class Rank:
         order = Window.partitionBy(self.user).orderBy(*self._order())
         return rows.withColumn(self.name, F.row_number().over(order))
 
-    def aggregated(self, rows, **_):
-        by_user = [F.asc_nulls_last(self.user)]
+    def cells(self, rows):
+        """One row per user; only heavy users come here, and their number is bounded."""
         sizes = staged(rows.groupBy(F.col(self.user).alias("_user")).agg(F.count("*").alias("_n")), "sizes")
-        # only heavy users come here, and their number is bounded
-        starts = running_start(sizes, [F.asc_nulls_last("_user")], "_n", "_start")
-        numbered = number_rows(rows, [*by_user, *self._order()], "_number")
+        return running_start(sizes, [F.asc_nulls_last("_user")], "_n", "_start")
+
+    def attach(self, rows, cells, **_):
+        numbered = number_rows(rows, [F.asc_nulls_last(self.user), *self._order()], "_number")
         return (
-            numbered.join(F.broadcast(starts), F.col(self.user).eqNullSafe(F.col("_user")))
+            numbered.join(F.broadcast(cells), F.col(self.user).eqNullSafe(F.col("_user")))
             .withColumn(self.name, F.col("_number") - F.col("_start"))
             .drop("_user", "_n", "_start", "_number")
         )
@@ -177,8 +194,11 @@ def apply_rules(rows, user, rules, heavy_rows=None, attributes=None, **spread):
         light = light.join(attributes.drop("_n"), user, "left")
     if heavy is None:
         return light
-    for rule in rules:
-        heavy = rule.aggregated(heavy, heavy_rows=heavy_rows, **spread)
+    heavy = staged(heavy, "heavy_rows")
+    cells = concurrently(heavy.sparkSession, *[lambda r=r: r.cells(heavy) for r in rules])
+    # the rank first: it writes the rows, so nothing before it is computed twice
+    for rule, table in sorted(zip(rules, cells), key=lambda pair: not isinstance(pair[0], Rank)):
+        heavy = rule.attach(heavy, table, heavy_rows=heavy_rows, **spread)
     if attributes is not None:
         heavy = lookup(heavy, attributes, [user], "_n", heavy_rows=heavy_rows, **spread)
     return light.unionByName(heavy)
