@@ -7,7 +7,8 @@ from auditloom.storage import staged
 
 HEAVY_ROWS = 2_000_000         # a key with fewer rows fits one task
 HEAVY_KEYS = 10_000            # so every other key holds at most 1/10,000 of all rows
-TASK_ROWS = 2_000_000          # rows a task of a row shuffle should get
+TASK_ROWS = 4_000_000          # rows a task of a row shuffle should get
+MAX_TASKS = 100_000            # more tasks would make too many shuffle blocks
 BROADCAST_VALUES = 1_000_000   # values of the largest lookup table sent to every executor
 SPREAD = 4_096
 
@@ -21,7 +22,7 @@ def heaviest(counts, weight, heavy_rows=None):
 
 def shuffle_by(rows, total, *keys, task_rows=TASK_ROWS):
     """Hash partition ``total`` rows, into more tasks than the session's default if they need them."""
-    tasks = (total or 0) // task_rows
+    tasks = min((total or 0) // task_rows, MAX_TASKS)
     if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         return rows.repartition(tasks, *keys)
     return rows.repartition(*keys)
