@@ -18,8 +18,12 @@ def build_session(master=None, shuffle_partitions=None, app_name="auditloom", **
     )
     if master:
         builder = builder.master(master)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    context = spark.sparkContext
+    if shuffle_partitions is None and context.master.startswith("local"):
+        shuffle_partitions = context.defaultParallelism
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return spark
