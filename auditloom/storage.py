@@ -12,12 +12,28 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.util import inheritable_thread_target
 
 
+FOLDER_KEY = "auditloom.shared.folder"   # may be set at run time, unlike spark.checkpoint.dir
+
+
+def set_shared_folder(spark, folder):
+    """Name the folder for intermediate tables where spark.checkpoint.dir is unset."""
+    spark.conf.set(FOLDER_KEY, folder)
+
+
 def shared_folder(spark):
-    """The folder named by spark.checkpoint.dir; a scratch one only where unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir, or the one of ``set_shared_folder``.
+
+    Where neither is set, a local master gets a scratch folder; a cluster has no folder that
+    could be guessed, so it gets an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER_KEY, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(
+                "No shared folder: set spark.checkpoint.dir, or call set_shared_folder with a path "
+                "that the driver and all executors reach")
         folder = tempfile.mkdtemp(prefix="auditloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        set_shared_folder(spark, folder)
     return f"{folder.rstrip('/')}/auditloom/{spark.sparkContext.applicationId}"
 
 
