@@ -85,16 +85,14 @@ def _walk(keys, n, budget):
         node = _prefix("key", depth)
         frontier = keys.select(node.alias("a"), node.alias("b"), F.lit(0).alias("diff")).distinct()
     else:
-        depth = 0
-        frontier = keys.sparkSession.range(1).select(
-            F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"), F.lit(0).alias("diff"))
-        keys_at_root = keys.withColumn("root", F.lit(0).cast("bigint"))
+        # the root's pairs of children: a node and what is left of it after a few flips
         first = min(2 * STRIDE, deepest)
-        left = keys_at_root.select(F.col("root").alias("a"), _prefix("key", first).alias("x")).distinct()
-        right = left.select(F.col("a").alias("b"), F.col("x").alias("y"))
-        changed = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
-        frontier = frontier.join(left, "a").join(right, "b").where("x <= y").select(
-            F.col("x").alias("a"), F.col("y").alias("b"), changed.alias("diff")).where(F.col("diff") <= budget)
+        nodes = keys.select(_prefix("key", first).alias("a")).distinct()
+        masks = [m for m in range(1 << first) if m.bit_count() <= budget]
+        flips = F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))
+        frontier = nodes.withColumn("flips", flips).select(
+            "a", F.col("a").bitwiseXOR(F.col("flips")).alias("b"), F.bit_count("flips").alias("diff"))
+        frontier = frontier.where("a <= b").join(nodes.withColumnRenamed("a", "b"), "b").select("a", "b", "diff")
         depth = first
         while depth < deepest:
             to = min(depth + STRIDE, deepest)
