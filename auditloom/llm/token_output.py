@@ -9,6 +9,7 @@ filter is split by stripes.
 import os
 import zlib
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 from auditloom.llm.common import map_arrow, small_batches, utf8
 
 END_ID = 1
-CACHE_WORDS = 500_000   # distinct words a worker remembers
+CACHE_WORDS = 1_000_000   # distinct words a worker remembers
 LONG_WORD = 64          # bytes; longer words are rarely seen again
+MARKS = b".,;:!?"
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 
@@ -27,36 +29,51 @@ TOKENS = "doc_id bigint, ids array<int>, n_tokens bigint"
 FILE_SCHEMA = f"{TOKENS}, shard int, pos bigint"
 
 
+class _Words(dict):
+    """Ids of words as little-endian unsigned 32-bit integers; an unknown word is encoded when asked for.
+
+    A mark after an ASCII letter is a word piece of its own, and capitals A-Z are lower-cased, by the
+    tokenizer itself as well. So such a word takes the ids of its plain form. Not so beside other
+    letters, where a combining mark may join a letter of one case only, nor in a special token's name.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, word):
+        mark, plain = word[-1:], word.lower()
+        if mark in MARKS and word[-2:-1].isalpha():
+            ids = self[word[:-1]] + self[mark]
+        elif plain != word and word.isascii() and b"<|" not in word:
+            ids = self[plain]
+        else:
+            ids = array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+        if len(word) <= LONG_WORD:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts word by word and remembers the ids of words.
 
     The tokenizer must treat words between ASCII white space on their own, as one does that
-    drops white space while it splits, so the ids of a text are those of its words.
+    drops white space while it splits, and lower-case; then the ids of a text are those of its words.
     """
 
     def __init__(self, path, cache_words=CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
         self.cache_words = cache_words
-        self.known = {}
+        self.known = _Words(Tokenizer.from_file(path))
 
     def encode(self, values):
         """For each text, as UTF-8, its ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.cache_words:
-            self.known.clear()
-        known = self.known
-        split = [v.split() for v in values]
-        new = list({w for words in split for w in words if w not in known})
-        if new:
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            known.update(zip(new, (array("I", e.ids).tobytes() for e in found)))
-        out = [b"".join([known[w] for w in words]) for words in split]
-        for w in new:
-            if len(w) > LONG_WORD:
-                del known[w]
-        return out
+        if len(self.known) > self.cache_words:    # forget the half that came first
+            for word in list(islice(self.known, len(self.known) - self.cache_words // 2)):
+                del self.known[word]
+        return [b"".join(map(self.known.__getitem__, v.split())) for v in values]
 
 
 _encoders = {}
