@@ -2,6 +2,7 @@ import glob
 import random
 import zlib
 from array import array
+from functools import cache
 
 import pyarrow.orc as orc
 from hypothesis import given, settings
@@ -12,11 +13,15 @@ from auditloom.llm.queries import tokenizer_path
 from tests.llm.rows import awkward_documents, empty_documents, ordered
 
 
-def whole_text_ids(texts):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    return [[*e.ids, 1] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def whole_text_ids(texts):
+    return [[*e.ids, 1] for e in tokenizer().encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def crc(ids):
@@ -28,7 +33,7 @@ def crc(ids):
     st.characters(codec="utf-8"), st.sampled_from(" \n\t  \u0085\u001ć̈ßÉİΣσς'<|endoftext|>s.1")),
     max_size=40), max_size=8) | st.lists(st.text(alphabet="aJjHTWYI.,!?' \u030c\u0331\u0307\u0308\u030a<|ENDOFTXendoftx>é", max_size=30)))
 def test_word_by_word_equals_whole_texts(texts):
-    found = op.WordEncoder(tokenizer_path()).encode([t.encode("utf-8") for t in texts])
+    found = op.encoder(tokenizer_path()).encode([t.encode("utf-8") for t in texts])
     assert [list(array("I", x)) + [1] for x in found] == whole_text_ids(texts)
 
 
