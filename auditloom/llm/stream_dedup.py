@@ -16,6 +16,7 @@ from auditloom.storage import new_path, staged
 
 MAX_BATCH_BYTES = 256 << 30   # of the files a micro-batch reads
 STORE_MEMORY_MB = 256      # native memory of the state stores of an executor
+FILTER_SLOTS = 1 << 28     # bits of the largest filter broadcast before texts are shuffled: 32 MB
 
 _STORE = "spark.sql.streaming.stateStore."
 
@@ -71,6 +72,23 @@ def _keyed_state(spark, arrivals_path, arrivals_schema, max_batch_bytes):
     return last.select("digest", "last.keep", "last.copies")
 
 
+def _may_hit(rows, hits, slots=None):
+    """The rows whose digest may be among ``hits``: all that are, and few others.
+
+    One bit per slot of a hash of the digest, in bitmaps of 4 KB, is broadcast. The number of slots
+    follows the hits up to a fixed bound; beyond it the filter lets more rows through.
+    """
+    slots = slots or min(FILTER_SLOTS, 1 << max(15, (16 * hits.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("digest"), F.lit(slots)) + 1
+    maps = hits.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    power = F.element_at(F.array(*[F.lit(1 << b) for b in range(8)]), (place % 8 + 1).cast("int"))
+    found = rows.withColumn("_bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(maps), "_bucket")
+    return found.where(byte.bitwiseAND(power) != 0).select(*rows.columns)
+
+
 def _decide(rows, groups, key):
     """keep, copies and group of each row; groups of one row take the same way."""
     return rows.join(groups, key).select(
@@ -102,13 +120,13 @@ def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
     keys = arrivals.select("row", "doc_id", "digest")
     state = staged(_keyed_state(spark, path, keys.schema, max_batch_bytes), "groups")
 
-    hits = state.where("copies > 1").select("digest", F.col("keep.row").alias("keep_row"))
+    hits = staged(state.where("copies > 1").select("digest", F.col("keep.row").alias("keep_row")), "hits")
     body = ascii_lower(F.coalesce(F.col("doc.text"), F.lit(""))).cast("binary")
-    retained = arrivals.select(F.col("row").alias("keep_row"), body.alias("retained")).join(hits, "keep_row").select(
-        "digest", "retained")
+    # only texts that may be compared are shuffled
+    bodies = _may_hit(arrivals.select("row", "digest", body.alias("body")), hits)
+    retained = bodies.join(hits, "digest").where("row = keep_row").select("digest", F.col("body").alias("retained"))
     differ = staged(
-        arrivals.select("digest", body.alias("body")).join(retained, "digest")
-        .where("body != retained").select("digest").distinct(), "collisions")
+        bodies.join(retained, "digest").where("body != retained").select("digest").distinct(), "collisions")
     if differ.isEmpty():
         groups, exact = state, None
     else:

@@ -64,3 +64,13 @@ def test_the_state_is_on_disk_and_combined_before_the_shuffle(spark):
     session = op._stream_session(spark)
     assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+@pytest.mark.parametrize("slots", [None, 1 << 15, 1 << 17])
+def test_filter_lets_every_hit_through(spark, slots):
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    hits = rows.where("id % 10 = 0").select("digest")
+    found = {r.id for r in op._may_hit(rows, hits, slots).collect()}
+    assert {i for i in range(20_000) if i % 10 == 0} <= found
+    assert slots == 1 << 15 or len(found) < 4500
+    assert op._may_hit(rows, hits.limit(0)).count() == 0
