@@ -37,6 +37,7 @@ def _stream_session(spark):
     session.conf.set(
         _STORE + "providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     session.conf.set(_STORE + "rocksdb.changelogCheckpointing.enabled", "true")
+    session.conf.set(_STORE + "rocksdb.allowFAllocate", "false")   # else each store reserves megabytes of disk
     session.conf.set(_STORE + "rocksdb.boundedMemoryUsage", "true")
     session.conf.set(_STORE + "rocksdb.maxMemoryUsageMB", STORE_MEMORY_MB)
     return session
@@ -122,11 +123,13 @@ def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
 
     hits = staged(state.where("copies > 1").select("digest", F.col("keep.row").alias("keep_row")), "hits")
     body = ascii_lower(F.coalesce(F.col("doc.text"), F.lit(""))).cast("binary")
-    # only texts that may be compared are shuffled
+    # only texts that may be compared are shuffled, and both joins read the same shuffle
     bodies = _may_hit(arrivals.select("row", "digest", body.alias("body")), hits)
-    retained = bodies.join(hits, "digest").where("row = keep_row").select("digest", F.col("body").alias("retained"))
+    retained = bodies.join(hits, "digest").where("row = keep_row").select(
+        "digest", F.col("row").alias("kept_row"), F.col("body").alias("retained"))
     differ = staged(
-        bodies.join(retained, "digest").where("body != retained").select("digest").distinct(), "collisions")
+        bodies.join(retained, "digest").where("row != kept_row AND body != retained").select("digest").distinct(),
+        "collisions")
     if differ.isEmpty():
         groups, exact = state, None
     else:
