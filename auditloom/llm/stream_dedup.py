@@ -73,14 +73,14 @@ def _keyed_state(spark, arrivals_path, arrivals_schema, max_batch_bytes):
     return last.select("digest", "last.keep", "last.copies")
 
 
-def _may_hit(rows, hits, slots=None):
-    """The rows whose digest may be among ``hits``: all that are, and few others.
+def _may_hit(rows, hits, column, slots=None):
+    """The rows whose ``column`` may be among that of ``hits``: all that are, and few others.
 
-    One bit per slot of a hash of the digest, in bitmaps of 4 KB, is broadcast. The number of slots
+    One bit per slot of a hash of the column, in bitmaps of 4 KB, is broadcast. The number of slots
     follows the hits up to a fixed bound; beyond it the filter lets more rows through.
     """
     slots = slots or min(FILTER_SLOTS, 1 << max(15, (16 * hits.count()).bit_length()))
-    slot = F.pmod(F.xxhash64("digest"), F.lit(slots)) + 1
+    slot = F.pmod(F.xxhash64(column), F.lit(slots)) + 1
     maps = hits.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
     place = F.bitmap_bit_position(slot)
@@ -121,15 +121,15 @@ def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
     keys = arrivals.select("row", "doc_id", "digest")
     state = staged(_keyed_state(spark, path, keys.schema, max_batch_bytes), "groups")
 
-    hits = staged(state.where("copies > 1").select("digest", F.col("keep.row").alias("keep_row")), "hits")
+    hits = staged(state.where("copies > 1").select("digest", F.col("keep.row").alias("row")), "hits")
     body = ascii_lower(F.coalesce(F.col("doc.text"), F.lit(""))).cast("binary")
-    # only texts that may be compared are shuffled, and both joins read the same shuffle
-    bodies = _may_hit(arrivals.select("row", "digest", body.alias("body")), hits)
-    retained = bodies.join(hits, "digest").where("row = keep_row").select(
-        "digest", F.col("row").alias("kept_row"), F.col("body").alias("retained"))
-    differ = staged(
-        bodies.join(retained, "digest").where("row != kept_row AND body != retained").select("digest").distinct(),
-        "collisions")
+    bodies = arrivals.select("row", "digest", body.alias("body"))
+    # only texts that may be compared are shuffled; the unequal are written, as a distinct on
+    # the join's own key would keep Spark from splitting a hot digest
+    retained = _may_hit(bodies, hits, "row").join(hits, ["digest", "row"]).select("digest", F.col("body").alias("retained"))
+    unequal = staged(
+        _may_hit(bodies, hits, "digest").join(retained, "digest").where("body != retained").select("digest"), "unequal")
+    differ = unequal.distinct()
     if differ.isEmpty():
         groups, exact = state, None
     else:

@@ -70,7 +70,7 @@ def test_the_state_is_on_disk_and_combined_before_the_shuffle(spark):
 def test_filter_lets_every_hit_through(spark, slots):
     rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("digest"))
     hits = rows.where("id % 10 = 0").select("digest")
-    found = {r.id for r in op._may_hit(rows, hits, slots).collect()}
+    found = {r.id for r in op._may_hit(rows, hits, "digest", slots).collect()}
     assert {i for i in range(20_000) if i % 10 == 0} <= found
     assert slots == 1 << 15 or len(found) < 4500
-    assert op._may_hit(rows, hits.limit(0)).count() == 0
+    assert op._may_hit(rows, hits.limit(0), "digest").count() == 0
