@@ -91,16 +91,23 @@ def _from_buckets(cells, by, points, max_values):
     out = []
     for i, name in enumerate(points):
         lower, upper = pick(i, "lower", F.col("_value")), pick(i, "upper", F.col("_value"))
-        out.append((lower + (upper - lower) * pick(i, "lower", F.col("_hit.share"))).alias(name))
+        # as the built-in percentile interpolates, to the last bit
+        share = pick(i, "lower", F.col("_hit.share"))
+        out.append(F.when(lower == upper, lower).otherwise((1 - share) * lower + share * upper).alias(name))
     return hits.groupBy(*by).agg(*out)
 
 
-def exact_percentiles(df, value, points, by, max_values=None):
+def exact_percentiles(df, value, points, by, max_values=None, missing_keys=False):
     """One row per group with a column for each entry of ``points`` (name -> fraction).
 
-    Groups with a missing key and missing values are left out.
+    Missing values are left out, and groups with a missing key unless ``missing_keys`` is set.
     """
     limit = MAX_VALUES if max_values is None else max_values
+    if missing_keys:
+        # a struct is never missing itself, and its missing fields are equal to each other
+        rows = df.select(F.struct(*by).alias("_group"), F.col(value).alias("_of"))
+        found = exact_percentiles(rows, "_of", points, ["_group"], limit)
+        return found.select(*[F.col(f"_group.{k}").alias(k) for k in by], *points)
     present = F.col(value).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()

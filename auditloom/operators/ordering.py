@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from auditloom.operators.skew import MAX_TASKS, TASK_ROWS
 from auditloom.storage import staged
 
 ONE_TASK_ROWS = 1_000_000
@@ -11,14 +12,19 @@ ONE_TASK_ROWS = 1_000_000
 _TASK_BITS = 33
 
 
-def stage_in_order(df, order, name="ordered"):
-    """Write ``df`` range partitioned and sorted by the total ``order``.
+def stage_in_order(df, order, name="ordered", total=None):
+    """Write ``df``, of ``total`` rows, range partitioned and sorted by the total ``order``.
 
     The table gets ``_task`` and ``_place``: the range a row lies in, and its place there.
     Both are written with the rows, so every later reader sees the same ranges.
     """
+    tasks = min((df.count() if total is None else total) // TASK_ROWS, MAX_TASKS)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ranges = df.repartitionByRange(*order)
+    else:
+        ranges = df.repartitionByRange(tasks, *order)
     ranged = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranges.sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_task", F.shiftright("_id", _TASK_BITS))
         .withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << _TASK_BITS) - 1)))
@@ -54,10 +60,11 @@ def number_rows(df, order, name):
 
 def running_start(table, order, size, name, one_task_rows=ONE_TASK_ROWS):
     """Add the total of ``size`` over all rows earlier in ``order`` to a staged table."""
-    if table.count() <= one_task_rows:
+    total = table.count()
+    if total <= one_task_rows:
         before = F.sum(size).over(_rows_before(Window.orderBy(*order)))
         return table.withColumn(name, F.coalesce(before, F.lit(0)))
-    ordered = _with_start(stage_in_order(table, order), F.col(size))
+    ordered = _with_start(stage_in_order(table, order, total=total), F.col(size))
     before = F.sum(size).over(_rows_before(Window.partitionBy("_task").orderBy("_place")))
     return (
         ordered.withColumn(name, F.col("_before") + F.coalesce(before, F.lit(0)))

@@ -151,8 +151,10 @@ def detect_unusual_timing(df, hour_col="hour_of_day", vendor_col="vendor_id", **
 def detect_vendor_spikes(df, vendor_col="vendor_id", step_col="step", **skew):
     df = with_row_id(df)
     days = vendor_rolling_baseline(vendor_daily(df, vendor_col, step_col), vendor_col)
-    spikes = days.where("is_vendor_spike_day").groupBy(vendor_col).agg(
-        F.sum("rows").alias("n"), F.collect_set("day_bucket").alias("spike_days"))
+    # all vendors with all their rows, so that one without a spike is known as heavy, too
+    spikes = days.groupBy(vendor_col).agg(
+        F.sum("rows").alias("n"),
+        F.collect_set(F.when(F.col("is_vendor_spike_day"), F.col("day_bucket"))).alias("spike_days"))
     df = lookup(df, staged(spikes, "spikes"), [vendor_col], "n", **skew)
     return df.withColumn("flag_vendor_spike", _spike_flag(step_col)).drop("spike_days")
 

@@ -6,18 +6,19 @@ from pyspark.sql import types as T
 from auditloom.storage import staged
 
 HEAVY_ROWS = 2_000_000         # a key with fewer rows fits one task
-HEAVY_KEYS = 10_000            # so every other key holds at most 1/10,000 of all rows
 TASK_ROWS = 4_000_000          # rows a task of a row shuffle should get
 MAX_TASKS = 100_000            # more tasks would make too many shuffle blocks
 BROADCAST_VALUES = 1_000_000   # values of the largest lookup table sent to every executor
+TEXT_BYTES = 16                # of a text that count as one value
 SPREAD = 4_096
 
 
 def heaviest(counts, weight, heavy_rows=None):
-    """The at most HEAVY_KEYS rows of ``counts`` whose weight exceeds ``heavy_rows``."""
-    floor = HEAVY_ROWS if heavy_rows is None else heavy_rows
-    columns = [f.name for f in counts.schema if f.name != weight and not isinstance(f.dataType, T.ArrayType)]
-    return counts.where(F.col(weight) > floor).orderBy(F.desc(weight), *columns).limit(HEAVY_KEYS)
+    """The rows of ``counts`` whose weight exceeds ``heavy_rows``.
+
+    Weights add up to the rows there are, so a trillion rows have at most 500,000 of them.
+    """
+    return counts.where(F.col(weight) > (HEAVY_ROWS if heavy_rows is None else heavy_rows))
 
 
 def shuffle_by(rows, total, *keys, task_rows=TASK_ROWS):
@@ -49,13 +50,22 @@ def split_heavy(rows, key, counts, heavy_rows=None):
     )
 
 
+def _values_of(column, kind):
+    """Number of values a column holds: struct fields, array elements, texts by length."""
+    if isinstance(kind, T.StructType):
+        return sum((_values_of(column[f.name], f.dataType) for f in kind), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        element = kind.elementType
+        each = F.aggregate(column, F.lit(1).cast("bigint"), lambda s, x: s + _values_of(x, element).cast("bigint"))
+        return F.coalesce(each, F.lit(1))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return 1 + F.coalesce(F.floor(F.octet_length(column) / TEXT_BYTES), F.lit(0))
+    return F.lit(1)
+
+
 def _values(table):
-    """Number of values a row of the table holds, those in arrays included."""
-    arrays = [F.size(f.name) for f in table.schema if isinstance(f.dataType, T.ArrayType)]
-    total = F.lit(len(table.columns))
-    for a in arrays:
-        total = total + a
-    return total
+    """Number of values a row of the table holds."""
+    return sum((_values_of(F.col(f.name), f.dataType) for f in table.schema), F.lit(0))
 
 
 def lookup(rows, table, on, weight, broadcast_values=None, heavy_rows=None, spread_by="row_id"):
@@ -63,7 +73,7 @@ def lookup(rows, table, on, weight, broadcast_values=None, heavy_rows=None, spre
 
     ``weight`` is the column of ``table`` with the number of rows of each key; it is not
     returned. A small table is broadcast after its values were counted. For a larger one the
-    payload of the heaviest keys is broadcast, and the rows of those keys (and of missing
+    payload of the heavy keys is broadcast, and the rows of those keys (and of missing
     keys, which match nothing) are spread by a hash of ``spread_by`` over all tasks of the
     shuffle join.
     """
@@ -86,8 +96,10 @@ def lookup(rows, table, on, weight, broadcast_values=None, heavy_rows=None, spre
         missing | F.col("_heavy").isNotNull(),
         1 + F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)),
     ).otherwise(F.lit(0).cast("bigint"))
-    light = table.select(
-        *on, F.lit(0).cast("bigint").alias("_spread"), F.struct(*payload).alias("_light"))
+    # zero, but no literal: the optimizer would move a literal into the join condition, and the
+    # rows would be shuffled again by the keys alone
+    none = (F.col(weight) * 0).cast("bigint")
+    light = table.where(F.col(weight).isNotNull()).select(*on, none.alias("_spread"), F.struct(*payload).alias("_light"))
     rows = shuffle_by(rows.withColumn("_spread", spread), total, *on, "_spread")
     rows = rows.join(light, [*on, "_spread"], "left")
     rows = rows.withColumns({c: F.coalesce(F.col(f"_heavy.{c}"), F.col(f"_light.{c}")) for c in payload})

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from auditloom.functions.columns import zero_padded
 from auditloom.operators import clean as cleaning
 from auditloom.operators import quality, signals
 from auditloom.operators.forest import FEATURES, robust_scale, with_balance_delta
@@ -389,7 +390,7 @@ def fact_transactions(ws):
 @query
 def transaction_ids(ws):
     return ws.flagged().select("row_id", F.col("row_number"), F.concat(
-        F.lit("TXN_"), F.lpad(F.col("row_number").cast("string"), 8, "0")).alias("transaction_id"))
+        F.lit("TXN_"), zero_padded(F.col("row_number"))).alias("transaction_id"))
 
 
 @query
@@ -463,6 +464,23 @@ def measures_by_risk_tier(ws):
     return _rounded(measures.measures(measures.with_vendor_tier(ws.tables()), ["vendor_risk_tier"]))
 
 
+# --- the same with the forest's signal, which the SQL texts cannot state
+
+@query
+def suspicious_transactions_with_forest(ws):
+    return views.report(ws.all_tables(), views.SUSPICIOUS)
+
+
+@query
+def kpi_cards_with_forest(ws):
+    return _rounded(measures.measures(ws.all_tables()["fact_transactions"]))
+
+
+@query
+def signal_breakdown_with_forest(ws):
+    return evaluation.signal_breakdown(ws.all_tables()["fact_transactions"])
+
+
 def _rounded(df):
     return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
 

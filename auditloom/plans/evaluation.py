@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from auditloom.functions.columns import money_sum, ratio, tiered
+from auditloom.operators.ordering import running_start
 from auditloom.operators.skew import lookup
 from auditloom.schema import ACTION_TIERS, SIGNALS
 from auditloom.storage import staged
@@ -149,13 +150,12 @@ def action_tier(fact):
 
 
 def roc_auc(fact, score="anomaly_score"):
-    """Area under the ROC curve; the distinct scores are at most 101, ties count half."""
+    """Area under the ROC curve of any score; ties count half."""
     truth = _truth()
-    scores = fact.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(truth).alias("fraud"), F.count_if(~truth).alias("clean"))
-    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    won = F.col("fraud") * (F.coalesce(F.sum("clean").over(below), F.lit(0)) + F.col("clean") / 2)
-    sums = scores.withColumn("won", won).agg(
+    scores = staged(fact.groupBy(F.col(score).alias("score")).agg(
+        F.count_if(truth).alias("fraud"), F.count_if(~truth).alias("clean")), "scores")
+    won = F.col("fraud") * (F.col("_below") + F.col("clean") / 2)
+    sums = running_start(scores, ["score"], "clean", "_below").withColumn("won", won).agg(
         F.sum("won").alias("won"), F.sum("fraud").alias("fraud"), F.sum("clean").alias("clean"))
     pairs = F.col("fraud").cast("double") * F.col("clean")
     return sums.select(F.try_divide("won", pairs).alias("roc_auc"), "fraud", "clean")

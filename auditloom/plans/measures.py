@@ -1,5 +1,8 @@
 """The measure catalogue: named aggregates over the fact table under any filter or grouping."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from auditloom.functions.columns import money, ratio
@@ -65,8 +68,10 @@ def measures(fact, by=()):
     # a constant key lets the single row use the grouped path
     rows, keys = (fact, by) if by else (fact.withColumn("_all", F.lit(1)), ["_all"])
     totals = rows.groupBy(*keys).agg(*[m.alias(n) for n, m in base_measures().items()])
-    median = exact_percentiles(rows, "amount", {"median_transaction_value": 0.5}, keys)
-    out = totals.join(median, keys, "left").withColumns(
+    median = exact_percentiles(rows, "amount", {"median_transaction_value": 0.5}, keys, missing_keys=True)
+    median = median.withColumnsRenamed({k: f"_{i}" for i, k in enumerate(keys)})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    out = totals.join(median, same, "left").drop(*[f"_{i}" for i in range(len(keys))]).withColumns(
         {n: ratio(F.col(a), F.col(b)) for n, (a, b) in RATIOS.items()})
     return out if by else out.drop("_all")
 

@@ -52,6 +52,10 @@ class Workspace:
     def fact(self):
         return self.tables()["fact_transactions"]
 
+    def all_tables(self):
+        """The star schema over all seven signals."""
+        return self._stage("all_tables", lambda: build_tables(self.flagged_with_forest()))
+
 
 def workspace(spark, folder):
     key = (spark.sparkContext.applicationId, str(folder))

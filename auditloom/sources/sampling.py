@@ -3,6 +3,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from auditloom.operators.ordering import number_rows
+from auditloom.storage import staged
+
 CHUNK_ROWS = 250_000
 CHUNKS = 25
 _HEX = 4   # 65,536 buckets of the order hash
@@ -29,19 +32,21 @@ def _lowest(rows, n):
 def stratified_sample(df, n_normal=150_000, seed=42, chunk_rows=CHUNK_ROWS):
     """All rows with isFraud = 1, and up to ``n_normal`` with isFraud = 0.
 
-    Every chunk of ``chunk_rows`` consecutive rows gives at most n_normal / 25 of them. The
-    choice is by a hash of row_id and seed, so it is the same in every run.
+    Every chunk of ``chunk_rows`` consecutive rows gives at most n_normal / 25 of them. Rows are
+    numbered without gaps in order of row_id first, and the choice is by a hash of that number
+    and the seed, so it is the same in every run and for every split of the input.
     """
-    order = F.md5(F.concat_ws("-", F.col("row_id").cast("string"), F.lit(str(seed))))
-    fraud = df.where("isFraud = 1")
-    chunk = F.expr(f"row_id div {chunk_rows}")
+    df = number_rows(df, ["row_id"], "_number")
+    place_in_file = F.col("_number") - 1
+    order = F.md5(F.concat_ws("-", place_in_file.cast("string"), F.lit(str(seed))))
+    fraud = df.where("isFraud = 1").drop("_number")
     place = Window.partitionBy("_chunk").orderBy("_order", "row_id")
-    normal = (
-        df.where("isFraud = 0").withColumn("_order", order).withColumn("_chunk", chunk)
+    normal = staged(
+        df.where("isFraud = 0").withColumn("_order", order)
+        .withColumn("_chunk", F.floor(place_in_file / chunk_rows))
         .withColumn("_place", F.row_number().over(place))
         .where(F.col("_place") <= n_normal // CHUNKS)
-        .drop("_chunk", "_place")
-    )
+        .drop("_chunk", "_place", "_number"), "normal")
     return fraud.unionByName(_lowest(normal, n_normal).drop("_order"))
 
 

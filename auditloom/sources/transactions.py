@@ -14,10 +14,13 @@ def check_columns(df):
 
 
 def with_row_id(df):
-    """Add the ingest order as row_id unless the data brings its own."""
+    """Add the ingest order as row_id unless the data brings its own.
+
+    Numbers given by a scan depend on its splits, so they are written once and then read.
+    """
     if "row_id" in df.columns:
         return df
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+    return staged(spread_small(df.withColumn("row_id", F.monotonically_increasing_id())), "raw")
 
 
 def scan(spark, path):
@@ -38,10 +41,7 @@ def load(spark, path):
         c: F.nanvl(F.col(c).cast("double"), F.lit(None)) if t.simpleString() == "double"
         else F.col(c).cast(t)
         for c, t in types.items()})
-    if "row_id" in df.columns:
-        return df
-    # Numbers given by the scan depend on its splits: write them once, then read them.
-    return staged(spread_small(with_row_id(df)), "raw")
+    return with_row_id(df)
 
 
 def staging(df):

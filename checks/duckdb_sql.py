@@ -262,11 +262,12 @@ def _profile():
 
 
 _SAMPLE = RAW + """,
+placed AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS place FROM txn),
 normal AS (
-    SELECT *, md5(CAST(row_id AS VARCHAR) || '-42') AS h FROM txn WHERE isFraud = 0),
+    SELECT *, md5(CAST(place AS VARCHAR) || '-42') AS h FROM placed WHERE isFraud = 0),
 capped AS (
     SELECT * FROM normal
-    QUALIFY row_number() OVER (PARTITION BY row_id // 5000 ORDER BY h, row_id) <= 800),
+    QUALIFY row_number() OVER (PARTITION BY place // 5000 ORDER BY h, row_id) <= 800),
 sample AS (
     SELECT row_id, isFraud, amount, nameOrig FROM txn WHERE isFraud = 1
     UNION ALL (SELECT row_id, isFraud, amount, nameOrig FROM capped ORDER BY h, row_id LIMIT 20000))
@@ -446,7 +447,9 @@ def _texts():
     add("dim_date", STAR, "SELECT * FROM dim_date")
     add("fact_transactions", STAR, "SELECT * FROM fact")
     add("transaction_ids", FLAGGED, """
-        SELECT row_id, row_number, 'TXN_' || lpad(CAST(row_number AS VARCHAR), 8, '0') AS transaction_id FROM flagged""")
+        SELECT row_id, row_number, 'TXN_' || CASE WHEN row_number < 10000000
+                   THEN right('0000000' || row_number, 8) ELSE CAST(row_number AS VARCHAR) END AS transaction_id
+        FROM flagged""")
     add("star_join", STAR, """
         SELECT transaction_id, amount, full_date, day_name, category_name, category_risk_profile, vendor_name,
                vendor_risk_tier

@@ -41,8 +41,24 @@ def test_filters_reach_the_scan(ws):
     assert "ReadSchema: struct<amount:double,risk_level:string>" in text
 
 
-def test_large_lookup_shuffles_by_key_and_spread(ws):
-    vendors = staged(ws.clean().groupBy("vendor_id").agg(F.count("*").alias("n"), F.max("step").alias("top")))
-    text = plan(lookup(ws.clean(), vendors, ["vendor_id"], "n", broadcast_values=0, heavy_rows=5))
-    assert "hashpartitioning(vendor_id" in text and "_spread" in text
-    assert "TakeOrderedAndProject" in text
+def test_large_lookup_shuffles_once_by_key_and_spread(spark):
+    rows = spark.range(20_000).select(
+        F.col("id").alias("row_id"),
+        F.expr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN concat('k', id % 1000) END").alias("k"))
+    table = staged(rows.where("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"), F.max("row_id").alias("top")))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = lookup(rows, table, ["k"], "n", broadcast_values=0, heavy_rows=100)
+        text = plan(found)
+        sizes = [r["count"] for r in found.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert re.search(r"SortMergeJoin \[k#\d+, _spread#\d+L\], \[k#\d+, _spread#\d+L\], LeftOuter", text)
+    assert len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", text)) == 2   # the rows once, and the table
+    assert max(sizes) < 3 * 20_000 / 64

@@ -116,6 +116,16 @@ def test_percentiles(spark, limit):
             assert got[k][name] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12)
 
 
+def test_both_ways_to_percentiles_agree_to_the_last_bit(spark):
+    rng = random.Random(4)
+    rows = [(i % 400 or None, round(rng.uniform(0, 1000), 4)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    points = {"q25": 0.25, "q50": 0.5, "p985": 0.985}
+    ways = [
+        sorted(map(str, exact_percentiles(df, "v", points, ["k"], limit, missing_keys=True).collect())) for limit in (None, 1)]
+    assert ways[0] == ways[1] and len(ways[0]) == 400
+
+
 def test_column_percentiles(spark):
     df = spark.range(101).select(F.col("id").alias("x"), (F.col("id") * -2.5).alias("y"))
     row = column_percentiles(df, ["x", "y"], {"q25": 0.25, "q50": 0.5}, 1).first()

@@ -189,3 +189,10 @@ def test_weekday_and_night(spark):
     df = temporal_features(numbered(spark, [(0,), (5,), (6,), (24 * 5 + 1,)], "step bigint"))
     assert as_dict(df, "is_night") == {0: False, 1: True, 2: False, 3: True}
     assert as_dict(df, "is_weekend") == {0: False, 1: False, 2: False, 3: True}
+
+
+def test_long_row_numbers_keep_their_digits(spark):
+    from auditloom.functions.columns import zero_padded
+
+    rows = spark.range(123_456_790, 123_457_837).select(zero_padded(F.col("id")).alias("t"))
+    assert rows.distinct().count() == 1_047 and rows.first().t == "123456790"

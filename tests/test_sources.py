@@ -52,6 +52,17 @@ def test_sample_matches_brute_force(spark, n_normal, chunk):
     assert sample_summary(sample).first().normal_records == len(kept)
 
 
+def test_sample_does_not_depend_on_splits(spark):
+    """Ids as a scan gives them: gaps of 2^33 between splits."""
+    def sample(splits):
+        rows = spark.range(20_000).select(
+            F.col("id").alias("place"), F.when(F.col("id") % 100 == 0, 1).otherwise(0).alias("isFraud"))
+        rows = rows.withColumn("row_id", F.expr(f"place + (place div {20_000 // splits}) * 8589934592"))
+        return sorted(r.place for r in stratified_sample(rows, 1_000, chunk_rows=5_000).collect())
+
+    assert sample(1) == sample(4) == sample(10) and len(sample(1)) == 200 + 160
+
+
 def test_cap_of_the_sample(spark):
     raw = spark.range(20_000).select(
         F.col("id").alias("row_id"), F.when(F.col("id") % 100 == 0, 1).otherwise(0).alias("isFraud"))
