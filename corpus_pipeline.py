@@ -39,7 +39,9 @@ def drop_near_copies(spark, docs, sf_dir):
     ids = staged(rows.select("row", "doc_id").join(found, "row"), "components")
     named = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     keep = ids.groupBy("component").agg(F.min(named).alias("first")).select("first.row")
-    return rows.join(keep, "row", "left_semi").select("doc.*")
+    # the dropped rows are few as a rule: where their table is small, Spark shuffles no document
+    dropped = staged(ids.join(keep, "row", "left_anti").select("row"), "dropped")
+    return rows.join(dropped, "row", "left_anti").select("doc.*")
 
 
 def mix_sources(spark, docs, sf_dir):
