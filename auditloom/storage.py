@@ -8,11 +8,13 @@ from facts.
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.util import inheritable_thread_target
 
 
 FOLDER_KEY = "auditloom.shared.folder"   # may be set at run time, unlike spark.checkpoint.dir
+SCOPE_KEY = "auditloom.shared.scope"     # the folder of the open scope of a session
 
 
 def set_shared_folder(spark, folder):
@@ -38,15 +40,43 @@ def shared_folder(spark):
 
 
 def new_path(spark, name):
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark.conf.get(SCOPE_KEY, None) or shared_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scope(spark, name):
+    """Inside the block, the session's intermediate tables go to one folder, whose path it gives.
+
+    Its owner may ``remove`` the folder once all results that read it are written.
+    """
+    outer = spark.conf.get(SCOPE_KEY, None)
+    path = new_path(spark, name)
+    spark.conf.set(SCOPE_KEY, path)
+    try:
+        yield path
+    finally:
+        if outer:
+            spark.conf.set(SCOPE_KEY, outer)
+        else:
+            spark.conf.unset(SCOPE_KEY)
+
+
+def remove(spark, path):
+    """Delete a folder of intermediate tables that no result needs any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_staged(df, path):
+    """Write ``df`` as an intermediate table, in a codec that suits text, and read it back."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def staged(df, name="stage"):
     """Write ``df`` as parquet into the shared folder and return the table read back."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_staged(df, new_path(df.sparkSession, name))
 
 
 def spread_small(df, key="row_id"):
