@@ -12,7 +12,7 @@ rows are grouped again by the texts themselves.
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import ascii_lower
-from auditloom.storage import new_path, staged
+from auditloom.storage import new_path, staged, write_staged
 
 MAX_BATCH_BYTES = 256 << 30   # of the files a micro-batch reads
 STORE_MEMORY_MB = 256      # native memory of the state stores of an executor
@@ -112,8 +112,7 @@ def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
         digest(text).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     path = new_path(spark, "arrivals")
-    rows.write.parquet(path)
-    arrivals = spark.read.schema(rows.schema).parquet(path)
+    arrivals = write_staged(rows, path)
     if arrivals.isEmpty():
         return arrivals.select(
             "doc", "digest", F.col("doc_id").alias("keep_id"), F.col("row").alias("group_size"),

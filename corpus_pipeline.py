@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
 again as the next stage's docs. All but the last return the columns of documents.
+
+When a stage begins, the result of the one before is a table of its own, so that stage's
+intermediate tables are removed: the disk in use is that of one stage, not of all. A caller that runs
+stages one by one has to write each result before the next stage begins. A session runs one pipeline
+over a folder at a time.
 """
 
 from pyspark.sql import functions as F
@@ -9,7 +14,9 @@ from pyspark.sql import functions as F
 from auditloom.llm import mixing, packing, simhash, stream_dedup, toxicity
 from auditloom.llm.common import let_workers_import, table
 from auditloom.llm.queries import tokenizer_path
-from auditloom.storage import staged
+from auditloom.storage import new_path, remove, scope, staged, write_staged
+
+_scratch = {}   # folder of intermediate tables by application, input folder and place of the stage
 
 
 def drop_toxic(spark, docs, sf_dir):
@@ -55,13 +62,31 @@ def pack_batches(spark, docs, sf_dir):
     return packing.pack_documents(docs, tokenizer_path())
 
 
-STAGES = [
+def _in_order(*stages):
+    """The stages, each of which removes the intermediate tables of the one before."""
+    def scoped(place, name, function):
+        def stage(spark, docs, sf_dir):
+            run_of = (spark.sparkContext.applicationId, sf_dir)
+            done = _scratch.pop((*run_of, place - 1), None)
+            if done:
+                remove(spark, done)
+            with scope(spark, function.__name__) as path:
+                _scratch[*run_of, place] = path
+                return function(spark, docs, sf_dir)
+
+        stage.__doc__ = function.__doc__
+        return name, stage
+
+    return [scoped(place, *stage) for place, stage in enumerate(stages)]
+
+
+STAGES = _in_order(
     ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
     ("simhash near-dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("packing", pack_batches),
-]
+)
 
 #: The classifier and the stream have no SQL form; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
@@ -69,7 +94,11 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        path = new_path(spark, name.replace(" ", "_"))
+        docs = write_staged(stage(spark, docs, sf_dir), path)
+        if last:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -77,3 +77,15 @@ def test_stages_take_awkward_and_empty_tables(spark, tmp_path):
 def test_order_and_names():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "exact dedup", "simhash near-dedup", "mixing", "packing"]
     assert tokenizer_path().endswith(".json")
+
+
+def test_run_keeps_the_intermediate_tables_of_one_stage(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(pipeline.__dict__, "_scratch", {})
+    spark.conf.set("auditloom.shared.scope", str(tmp_path))
+    try:
+        out = pipeline.run(spark, FOLDER)
+        names = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+        assert names == {"pack_batches", "mixing"}
+        assert out.count() > 0
+    finally:
+        spark.conf.unset("auditloom.shared.scope")
