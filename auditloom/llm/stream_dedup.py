@@ -73,11 +73,11 @@ def _keyed_state(spark, arrivals_path, arrivals_schema, max_batch_bytes):
     return last.select("digest", "last.keep", "last.copies")
 
 
-def _may_hit(rows, hits, column, slots=None):
-    """The rows whose ``column`` may be among that of ``hits``: all that are, and few others.
+def _marked(rows, hits, column, slots=None):
+    """``rows`` with ``_may``: true where ``column`` is among that of ``hits``, and for few other rows.
 
     One bit per slot of a hash of the column, in bitmaps of 4 KB, is broadcast. The number of slots
-    follows the hits up to a fixed bound; beyond it the filter lets more rows through.
+    follows the hits up to a fixed bound; beyond it the filter marks more rows.
     """
     slots = slots or min(FILTER_SLOTS, 1 << max(15, (16 * hits.count()).bit_length()))
     slot = F.pmod(F.xxhash64(column), F.lit(slots)) + 1
@@ -86,8 +86,13 @@ def _may_hit(rows, hits, column, slots=None):
     place = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     power = F.element_at(F.array(*[F.lit(1 << b) for b in range(8)]), (place % 8 + 1).cast("int"))
-    found = rows.withColumn("_bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(maps), "_bucket")
-    return found.where(byte.bitwiseAND(power) != 0).select(*rows.columns)
+    found = rows.withColumn("_bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(maps), "_bucket", "left")
+    return found.select(*rows.columns, F.coalesce(byte.bitwiseAND(power) != 0, F.lit(False)).alias("_may"))
+
+
+def _may_hit(rows, hits, column, slots=None):
+    """The rows whose ``column`` may be among that of ``hits``: all that are, and few others."""
+    return _marked(rows, hits, column, slots).where("_may").drop("_may")
 
 
 def _decide(rows, groups, key):
@@ -97,15 +102,8 @@ def _decide(rows, groups, key):
         F.col("copies").alias("group_size"))
 
 
-def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
-    """Stage ``docs`` and decide for every row which of the rows with an equal text stays.
-
-    ``docs`` has doc_id, text and any other columns. Texts are equal if identical after
-    lower-casing A-Z; a missing text is an empty one. Of equal texts the row with the largest
-    doc_id stays; rows without an id rank below all others, and of rows with one id exactly one
-    stays. Returns a staged table with the input row as the struct ``doc``, its ``digest``, ``keep_id``,
-    ``group_size`` and ``kept``. An empty table gives no rows.
-    """
+def _decisions(docs, digest, max_batch_bytes):
+    """The staged rows of ``docs``, and for each ``row`` its keep_id, keep_row and group_size."""
     spark = docs.sparkSession
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     rows = docs.select(
@@ -114,9 +112,8 @@ def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
     path = new_path(spark, "arrivals")
     arrivals = write_staged(rows, path)
     if arrivals.isEmpty():
-        return arrivals.select(
-            "doc", "digest", F.col("doc_id").alias("keep_id"), F.col("row").alias("group_size"),
-            F.lit(True).alias("kept"))
+        return arrivals, arrivals.select(
+            "row", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.col("row").alias("group_size"))
     keys = arrivals.select("row", "doc_id", "digest")
     state = staged(_keyed_state(spark, path, keys.schema, max_batch_bytes), "groups")
 
@@ -140,11 +137,31 @@ def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
     decided = _decide(keys, groups, "digest")
     if exact is not None:
         decided = decided.unionByName(exact)
-    decided = staged(decided, "decided")
+    return arrivals, staged(decided, "decided")
+
+
+def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
+    """Stage ``docs`` and decide for every row which of the rows with an equal text stays.
+
+    ``docs`` has doc_id, text and any other columns. Texts are equal if identical after
+    lower-casing A-Z; a missing text is an empty one. Of equal texts the row with the largest
+    doc_id stays; rows without an id rank below all others, and of rows with one id exactly one
+    stays. Returns the input row as the struct ``doc``, its ``digest``, ``keep_id``, ``group_size`` and
+    ``kept``. An empty table gives no rows.
+    """
+    arrivals, decided = _decisions(docs, digest, max_batch_bytes)
     return arrivals.select("row", "digest", "doc").join(decided, "row").select(
         "doc", "digest", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
 
 
-def survivors(docs, **options):
-    """The rows of ``docs`` that stay, with all their columns."""
-    return deduplicate(docs, **options).where("kept").select("doc.*")
+def survivors(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):
+    """The rows of ``docs`` that ``deduplicate`` keeps, with all their columns.
+
+    Rows that a filter of the dropped ones does not mark stay where they are; only the marked
+    ones, the dropped and a few others, are shuffled to be told apart.
+    """
+    arrivals, decided = _decisions(docs, digest, max_batch_bytes)
+    dropped = staged(decided.where("row != keep_row").select("row"), "dropped")
+    marked = _marked(arrivals.select("row", "doc"), dropped, "row")
+    told = marked.where("_may").join(dropped, "row", "left_anti")
+    return marked.where("NOT _may").unionByName(told).select("doc.*")
