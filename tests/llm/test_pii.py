@@ -72,6 +72,27 @@ def test_account_numbers_and_context(spark):
     assert round(spans[0]["iban"].score - spans[2]["iban"].score, 6) == op.CONTEXT_BONUS
 
 
+def account_numbers(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "iban"]
+             for r in op.find_pii(frame).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_account_numbers_beside_words(spark):
+    spaced, plain = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    british, norse = "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    own = "ZZ" + next(f"{c:02}" for c in range(98) if int(f"12345678901{3535}{c:02}") % 97 == 1) + "12345678901"
+    cases = [
+        (f"{spaced} BIC COBADEFF", [spaced]), (f"{plain} EUR 500", [plain]), (f"{plain} 2024-01-02", [plain]),
+        (f"{british} I paid", [british]), (f"{spaced} Bic", [spaced]), (f"{plain}\nEUR", [plain]),
+        (f"{norse} {norse} {plain}", [norse, norse, plain]), (f"REF AB12 {spaced} EUR", [spaced]),
+        (f"😀 {own} EUR 500", [own]), (f"{own} {own}", [own, own]), (f"{plain}EUR", []), (f"X{plain}", []),
+        ("DE89 3704 0044 0532 0130 01 BIC COBADEFF", [])]
+    for (text, expected), found in zip(cases, account_numbers(spark, [t for t, _ in cases])):
+        assert found == expected, text
+
+
 def test_only_built_in_functions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = op.find_pii(docs)._jdf.queryExecution().toString()
