@@ -3,7 +3,8 @@
 Two models of the order of characters, one of random strings and one of ordinary identifiers, are
 trained from labelled samples. A token whose log-likelihood ratio exceeds the threshold is a
 secret. The samples come from documents: values that the patterns find and digests of the sampled
-ids are random strings; words outside found spans are ordinary.
+ids are random strings; words outside found spans, alone and joined as in identifiers and paths,
+are ordinary. No condition but the ratio and the length decides: a token may have no digit.
 """
 
 import hashlib
@@ -87,8 +88,9 @@ def sample_strings(docs, fit_docs=FIT_DOCS):
                 seed = hashlib.sha256(str(doc_id).encode())
                 secrets += [seed.hexdigest()[:40], _letters(seed.digest(), 62)]
                 words = {m.group() for m in WORD.finditer(text) if _free(spans, *m.span())}
-                values += secrets + sorted(words)
-                random += [True] * len(secrets) + [False] * len(words)
+                ordinary = sorted(words) + _joined(sorted(words), seed.digest()[0])
+                values += secrets + ordinary
+                random += [True] * len(secrets) + [False] * len(ordinary)
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.string()), pa.array(random, pa.bool_())],
                                              ["value", "random"])
 
@@ -100,6 +102,13 @@ def _letters(digest, size):
     return "".join(SYMBOLS[b % size] for b in digest)
 
 
+def _joined(words, style):
+    """The words as identifiers and paths join them, in one of five styles, and a rule of the sign that joins."""
+    sign = "-_/_"[style % 5] if style % 5 < 4 else ""
+    words = [w.upper() for w in words] if style % 5 == 3 else words if sign else [w[0].upper() + w[1:] for w in words]
+    return [sign.join(words), sign * MIN_TOKEN]
+
+
 def train(strings):
     """The log ratio of the two transition tables, from labelled strings (value, random).
 
@@ -139,7 +148,7 @@ def find_spans(text, model, threshold=THRESHOLD):
     added = []
     for m in TOKEN.finditer(text):
         token = m.group()
-        if any(c.isdigit() for c in token) and _free(base, *m.span()) and ratio(model, token) >= threshold:
+        if _free(base, *m.span()) and ratio(model, token) >= threshold:
             added.append((m.start(), 3, m.end()))
     return base, sorted(base + added)
 

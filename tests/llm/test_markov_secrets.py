@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,6 +51,22 @@ def test_model_tells_random_strings_from_words(spark):
     assert not base and [text[s:e] for s, _, e in spans] == ["kT9vXq2LmZ81RwYb4HsNcE7d"]
 
 
+def test_tokens_without_a_digit_are_judged_by_the_models(spark):
+    model = words_model(spark)
+    rng = random.Random(3)
+    found = lambda token: [token[s:e] for s, _, e in op.find_spans(token, model)[1]] == [token]
+    secrets = ["".join(rng.choice(string.ascii_letters) for _ in range(24)) for _ in range(500)]
+    assert sum(map(found, secrets)) > 475
+    ordinary = [
+        "internationalization", "Geschwindigkeitsbegrenzung", "anticonstitutionnellement", "responsabilidades",
+        "RESPONSIBILITIES", "NON-INFRINGEMENT", "snake_case_names_like_this", "multi-word-hyphen-slug-title",
+        "/usr/local/share/applications/", "-" * 80, "=" * 80, "_" * 80]
+    assert [t for t in ordinary if found(t)] == []
+    held = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    tokens = {m.group() for r in held for m in op.TOKEN.finditer(r.text or "") if m.group().isalpha()}
+    assert tokens and not any(map(found, tokens))
+
+
 def test_scan_counts_code_points_and_keeps_rows(spark):
     docs = awkward_documents(spark)
     rows = op.scan(docs, words_model(spark)).collect()
