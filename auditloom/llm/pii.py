@@ -10,6 +10,7 @@ stack depth grows with the square of a long run.
 from pyspark.sql import functions as F
 
 CONTEXT_CHARS = 48
+LEAST_MATCH = 2    # characters any pattern moves on by, at least
 BLOCK = 512        # array elements whose running total is formed at once
 
 # Kinds in their order, base kinds first.
@@ -31,7 +32,8 @@ IBAN_PLACES = dict(part.split(":") for part in (
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 IP_VALID = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
-# Words near a span that make its kind likelier, and the scores without and with one.
+# Words that make the kind of a span likelier if they are in the CONTEXT_CHARS before it, and the
+# scores without and with one. Words behind a span do not count.
 CONTEXT = {
     "email": "mail|contact|write|kontakt|correo|courriel",
     "ip": r"\bip\b|server|host|address|login|adresse",
@@ -147,17 +149,33 @@ def _taken(kind, match):
     return F.lit(4) if kind == "iban" else F.length(match)
 
 
+def _context(kind, pairs, before, i):
+    """The CONTEXT_CHARS of the text before match ``i``, across the matches before it.
+
+    So many matches back always hold them, and the text is never walked from its start.
+    """
+    back = CONTEXT_CHARS // LEAST_MATCH
+    last = lambda s: F.right(s, F.lit(CONTEXT_CHARS))
+    earlier = F.transform(
+        F.slice(pairs, F.greatest(i - back + 1, F.lit(1)), F.least(i, F.lit(back))),
+        lambda q: F.concat(last(q["before"]), last(F.left(q["match"], _taken(kind, q["match"])))))
+    return F.when(F.length(before) >= CONTEXT_CHARS, last(before)).otherwise(
+        last(F.concat(F.array_join(earlier, ""), before)))
+
+
 def _spans(kind):
     """The confirmed spans of a kind, from its matches and their running ends."""
     pairs, ends = F.col(f"_{kind}"), F.col(f"_{kind}_ends")
     confirm = _confirm(kind)
-    found = F.transform(pairs, lambda p: F.struct(
-        p["before"].alias("before"), confirm(p["match"]).alias("value"), _taken(kind, p["match"]).alias("taken")))
-    bonus = lambda before: F.when(
-        F.lower(F.right(before, F.lit(CONTEXT_CHARS))).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
-    spans = F.zip_with(found, ends, lambda p, end: F.when(p["value"].isNotNull(), F.struct(
-        (end - p["taken"]).alias("start"), F.lit(KINDS.index(kind)).alias("place"),
-        (end - p["taken"] + F.length(p["value"])).alias("end"), F.lit(kind).alias("kind"), (F.lit(SCORES[kind]) + bonus(p["before"])).alias("score"))))
+    found = F.zip_with(pairs, ends, lambda p, end: F.struct(
+        p["before"].alias("before"), confirm(p["match"]).alias("value"),
+        (end - _taken(kind, p["match"])).alias("start")))
+    bonus = lambda before, i: F.when(
+        F.lower(_context(kind, pairs, before, i)).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
+    spans = F.transform(found, lambda p, i: F.when(p["value"].isNotNull(), F.struct(
+        p["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"),
+        (p["start"] + F.length(p["value"])).alias("end"), F.lit(kind).alias("kind"),
+        (F.lit(SCORES[kind]) + bonus(p["before"], i)).alias("score"))))
     return F.coalesce(F.filter(spans, lambda s: s.isNotNull()), F.array().cast(SPAN))
 
 

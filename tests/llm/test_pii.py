@@ -93,6 +93,23 @@ def test_account_numbers_beside_words(spark):
         assert found == expected, text
 
 
+def test_context_reaches_across_earlier_proposals(spark):
+    number = "4539 1488 0343 6467"
+    texts = [
+        f"credit card 2024: {number}", "call +49 170 1234567 or\n+49 170 7654321", f"card {'x' * 43}{number}",
+        f"card {'x' * 44}{number}", f"card {'12 ' * 14}x{number}", f"card {'12a' * 20}{number}",
+        f"{number} card", f"😀 card {'é1234' * 8}é{number}"]
+    expected = [[True], [True, True], [True], [False], [True], [False], [False], [True]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for row in op.find_pii(frame).collect():
+        spans = [s for s in row.spans if s.kind in ("card", "phone")]
+        spans = [s for s in spans if texts[row.doc_id][s.start] in "+4"]
+        window = [texts[row.doc_id][max(0, s.start - op.CONTEXT_CHARS):s.start].lower() for s in spans]
+        got = [s.score > op.SCORES[s.kind] for s in spans]
+        assert got == [bool(re.search(op.CONTEXT[s.kind], w)) for s, w in zip(spans, window)], texts[row.doc_id]
+        assert got == expected[row.doc_id], texts[row.doc_id]
+
+
 def test_only_built_in_functions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = op.find_pii(docs)._jdf.queryExecution().toString()
