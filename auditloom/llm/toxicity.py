@@ -190,7 +190,7 @@ def learn_lexicon(sample):
 
 
 class Model:
-    """Lexicon, trees and calibration; without labels of both kinds, a constant."""
+    """Lexicon (it may be empty), trees and calibration; if the sample's labels are all of one kind, a constant."""
 
     def __init__(self, lexicon, trees, calibration, constant):
         self.lexicon, self.trees, self.calibration, self.constant = lexicon, trees, calibration, constant
@@ -217,15 +217,21 @@ def train(docs, labels, fit_rows=FIT_ROWS):
     rows = staged(
         _with_features(sample.where("fold >= 5").select("doc_id", "toxic", "fold", "text"), lexicon,
                        ["doc_id", "toxic", "fold"]), "features").withColumn("label", F.col("toxic").cast("double"))
-    if not lexicon.odds or rows.where("fold < 8").select("toxic").distinct().count() < 2:
-        share = sample.agg(F.avg("toxic")).first()[0]
-        return Model(None, None, None, share or 0.0)
+    fitted = F.col("fold") < 8
+    if rows.where(fitted).select("toxic").distinct().count() < 2:
+        # too few labels for folds: the trees take all there are, and nothing is left to calibrate them
+        if sample.select("toxic").distinct().count() < 2:
+            share = sample.agg(F.avg("toxic")).first()[0]
+            return Model(None, None, None, share or 0.0)
+        fitted = F.lit(True)
+        rows = staged(_with_features(sample, lexicon, ["doc_id", "toxic", "fold"]), "features").withColumn(
+            "label", F.col("toxic").cast("double"))
     # one order and one partition, of bounded size, whatever the cluster: the same trees each time
     fit = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(
-        rows.where("fold < 8").coalesce(1).sortWithinPartitions("doc_id"))
+        rows.where(fitted).coalesce(1).sortWithinPartitions("doc_id"))
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(fit)
-    held = staged(_raw_scores(rows.where("fold >= 8"), trees).select("label", "raw"), "calibration")
+    held = staged(_raw_scores(rows.where(~fitted), trees).select("label", "raw"), "calibration")
     if held.select("label").distinct().count() < 2:
         return Model(lexicon, trees, None, 0.0)
     calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(held)

@@ -1,3 +1,5 @@
+import random
+import string
 import zlib
 
 import pytest
@@ -56,6 +58,20 @@ def test_without_labels_of_both_kinds_the_score_is_constant(spark, labels):
     assert {r.score for r in op.score(docs, op.train(docs, frame)).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("bad", [2, 8])
+def test_few_labels_without_a_lexicon_still_fit_trees(spark, bad):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(9))
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 5][:40]
+    texts = {i: " ".join(word() for _ in range(6)) for i in range(80)}
+    toxic = {i for i in range(80) if i in ids[:bad] or i >= 75}
+    rows = [(i, t.upper() + "!!!" if i in toxic else t + ".") for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 0, int(i in toxic)) for i in ids], "doc_id bigint, quality int, toxic int")
+    found = op.score(docs, op.train(docs, labels)).collect()
+    assert {r.doc_id for r in found if r.predicted} == toxic
+
+
 def test_features_see_disguise():
     lexicon = op.Lexicon({"idiot": 5.0, "idio-": 4.0})
     at = {name: i for i, name in enumerate(op.FEATURES)}
