@@ -150,8 +150,9 @@ class IsolationForest:
             (np.array(r.feature), np.array(r.threshold), np.array(r.length))
             for r in sorted(grown.collect(), key=lambda r: r.tree)]
         model = ForestModel(df.sparkSession, features, nodes, depth, _path_length(per_tree))
-        scores = model.score(sample, "score")
-        model.cutoff = scores.agg(F.percentile("score", F.lit(1.0 - self.contamination))).first()[0]
+        # trees need few rows, but the share of outliers is one of all rows
+        scores = model.score(df, "_score").select("_score")
+        model.cutoff = column_percentiles(scores, ["_score"], {"cutoff": 1.0 - self.contamination}).first()[0]
         return model
 
 

@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from auditloom.operators.forest import (
-    IsolationForest, _grow, _mean_length, _path_length, detect_multivariate_outliers)
+    IsolationForest, _grow, _mean_length, _path_length, detect_multivariate_outliers, with_balance_delta)
 from tests.frames import as_dict
 
 
@@ -35,6 +35,16 @@ def test_share_repeatability_and_extremes(spark):
     assert sum(first[i] for i in range(20)) >= 18
 
 
+def test_cutoff_comes_from_all_rows(spark):
+    rows = spark.range(4000).selectExpr(
+        "id AS row_id", "abs(sin(id * 12.9898)) * 1000 + IF(id % 100 = 0, id * 50, 0) AS amount", "id % 97 AS oldbalanceOrg")
+    forest = IsolationForest(trees=20, fit_rows=300)
+    model = forest.fit(rows)
+    scores = [r.s for r in model.score(with_balance_delta(rows), "s").select("s").collect()]
+    assert abs(model.cutoff - np.percentile(scores, 100 * (1 - forest.contamination))) < 1e-12
+    assert 0 < sum(s > model.cutoff for s in scores) <= 60
+
+
 def test_missing_features(spark):
     df = spark.range(300).select(F.col("id").alias("row_id"), F.when(F.col("id") > 3, F.col("id") * 1.0).alias("amount"))
     assert detect_multivariate_outliers(df).where("flag_multivariate_outlier IS NULL").isEmpty()
