@@ -23,9 +23,10 @@ from auditloom.storage import new_path, staged
 
 K = 20
 QUERY_BYTES = 16 << 20       # text of the items that are searched at once
-SHARD_DOCS = 2_048           # documents of a shard at most,
-SHARD_ENTRIES = 4_000_000    # and entries of its summaries before the maxima are taken
-BLOCK_DOCS = 16              # documents of a block, on average, in lists longer than that
+SHARD_DOCS = 1_024           # documents of a shard at most,
+SHARD_ENTRIES = 8_000_000    # and entries of its summaries before the maxima are taken,
+CHUNK_ENTRIES = 500_000      # of which so many, or one block's, are in memory at once
+BLOCK_DOCS = 32              # documents of a block, on average, in lists longer than that
 DIMENSIONS = 16              # of the projection that says which documents are similar
 LEAD = 16                    # one shard in so many gives the first bounds
 SCALE, TF, LENGTH = 1_000_000_000, 1_000, 12     # fixed values of the score
@@ -92,6 +93,33 @@ def _blocks(rows, columns, sketch, block_docs):
     return order, np.cumsum((np.diff(columns[order], prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0)) - 1
 
 
+def _summaries(order, block, columns, impacts, stops, block_ends):
+    """(block, term) pairs, ascending, with the largest impact, for blocks of several documents, from each one's term on.
+
+    A posting gives an entry for itself and for each later one of its document. Entries of some blocks
+    at a time are sorted as one number each, of which the impact, always below ``SCALE // TF``, is the end.
+    """
+    many = np.flatnonzero(np.diff(block_ends)[block] > 1)
+    sizes = stops[many] - order[many]
+    blocks, terms_, most = [], [], []
+    total = np.cumsum(sizes)
+    a = 0
+    while a < len(many):
+        b = max(int(np.searchsorted(total, (total[a - 1] if a else 0) + CHUNK_ENTRIES, "right")), a + 1)
+        while b < len(many) and block[many[b]] == block[many[b - 1]]:    # blocks stay whole
+            b += 1
+        at = _ranges(order[many[a:b]], stops[many[a:b]])
+        key = np.repeat(block[many[a:b]] - block[many[a]], sizes[a:b]) << 44 | columns[at] << 20 | impacts[at]
+        key.sort()
+        key = key[np.flatnonzero(np.diff(key >> 20, append=-1))]
+        blocks.append((key >> 44) + block[many[a]])
+        terms_.append(key >> 20 & (1 << 24) - 1)
+        most.append(key & (1 << 20) - 1)
+        a = b
+    join = lambda parts: np.concatenate([np.zeros(0, np.int64), *parts])
+    return (join(blocks), join(terms_)), join(most)
+
+
 def build_shard(ids, sizes, columns, impacts, projection, block_docs=BLOCK_DOCS):
     """The arrays of a shard, from the numbers of postings of its documents and the postings, by document and term."""
     ends = _offsets(sizes)
@@ -104,18 +132,9 @@ def build_shard(ids, sizes, columns, impacts, projection, block_docs=BLOCK_DOCS)
     first = np.flatnonzero(np.diff(block, prepend=-1))
     block_ends = _offsets(np.diff(np.append(first, len(block))))
 
-    # entries (block, term from the block's own on) of all blocks of several documents, and their maxima
-    many = np.diff(block_ends)[block] > 1
-    start, stop = order[many], ends[rows[order[many]] + 1].astype(np.int64)
-    at = _ranges(start, stop)
-    key = np.repeat(block[many], stop - start) * (1 << 32) + columns[at]
-    by = np.argsort(key, kind="stable")
-    key = key[by]
-    heads = np.flatnonzero(np.diff(key, prepend=-1))
-    most = np.maximum.reduceat(impacts[at][by], heads) if len(heads) else np.zeros(0)
-    summary = np.bincount(key[heads] >> 32, minlength=len(first))
-    arrays = [ends, columns, impacts, columns[order[first]], block_ends, rows[order], _offsets(summary),
-              key[heads] & ((1 << 32) - 1), most]
+    heads, most = _summaries(order, block, columns, impacts, ends[rows[order] + 1].astype(np.int64), block_ends)
+    summary = np.bincount(heads[0], minlength=len(first))
+    arrays = [ends, columns, impacts, columns[order[first]], block_ends, rows[order], _offsets(summary), heads[1], most]
     return pa.RecordBatch.from_arrays(
         [pa.array([ids], pa.list_(pa.int64())), *[pa.array([a.astype("<i4").tobytes()], pa.binary()) for a in arrays]],
         ["doc_ids", *_ARRAYS])
@@ -188,7 +207,7 @@ def build_index(docs, vocabulary, path=None, shard_docs=SHARD_DOCS, shard_entrie
 
     let_workers_import(docs.sparkSession)
     # a shard is a row of some megabytes, so row groups are checked and kept small
-    (rows.where(F.size("terms") > 0).mapInArrow(shards, SHARD).write.partitionBy("lead").option("compression", "zstd")
+    (rows.where(F.size("terms") > 0).mapInArrow(shards, SHARD).write.option("compression", "zstd")
         .option("parquet.block.size", 32 << 20).option("parquet.block.size.row.check.min", 1)
         .option("parquet.page.size.row.check.min", 1).parquet(path))
     return Index(path, dict(zip(vocabulary, places.tolist())), weights[order])
