@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.token_output import tokenize
+from auditloom.llm.token_output import count_tokens
 from auditloom.storage import staged
 
 MAX_TOKENS = 2_048
@@ -104,8 +104,7 @@ def pack(lengths, max_tokens=MAX_TOKENS, buckets=BUCKETS, batch_tokens=BATCH_TOK
 
 def token_lengths(docs, tokenizer_path):
     """doc_id and n_tokens (with the end id) of each row of (doc_id, text)."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return tokenize(rows, tokenizer_path).select("doc_id", "n_tokens")
+    return count_tokens(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), tokenizer_path)
 
 
 def pack_documents(docs, tokenizer_path, **options):

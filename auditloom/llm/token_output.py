@@ -7,6 +7,7 @@ filter is split by stripes.
 """
 
 import os
+import string
 import zlib
 from array import array
 from itertools import islice
@@ -21,7 +22,7 @@ from auditloom.llm.common import map_arrow, small_batches, utf8
 END_ID = 1
 CACHE_WORDS = 1_000_000   # distinct words a worker remembers
 LONG_WORD = 64          # bytes; longer words are rarely seen again
-MARKS = b".,;:!?"
+MARKS = string.punctuation
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 
@@ -30,32 +31,48 @@ FILE_SCHEMA = f"{TOKENS}, shard int, pos bigint"
 
 
 class _Words(dict):
-    """Ids of words as little-endian unsigned 32-bit integers; an unknown word is encoded when asked for.
+    """A form of the ids of words; an unknown word is encoded when asked for.
 
-    A mark after an ASCII letter is a word piece of its own, and capitals A-Z are lower-cased, by the
-    tokenizer itself as well. So such a word takes the ids of its plain form. Not so beside other
-    letters, where a combining mark may join a letter of one case only, nor in a special token's name.
+    Forms of words add up: bytes of ids, or their number. Closing marks after a letter are a piece of their
+    own, and capitals A-Z are lower-cased, by the tokenizer itself as well. So such a word takes the form
+    of its plain one. Not so in a special token's name. A word of ASCII and Latin-1 letters alone is one
+    piece, so it goes to the tokenizer's model directly, without the steps before it.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, form):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.form, self.model = tokenizer, form, tokenizer.model
+        self.letters, self.forms = frozenset(), {}
+        letters = [c for c in map(chr, range(256)) if c.isalpha()]
+        if tokenizer.pre_tokenizer is not None:
+            self.forms = {ord(c): "".join(p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
+            probes = ["".join(letters), *letters, "hello", "École"]
+            if all(self._piece(x) == self._whole(x) for x in probes):
+                self.letters = frozenset(letters)
+
+    def _whole(self, text):
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _piece(self, text):
+        return [t.id for t in self.model.tokenize(text.lower().translate(self.forms))]
 
     def __missing__(self, word):
-        mark, plain = word[-1:], word.lower()
-        if mark in MARKS and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[mark]
-        elif plain != word and word.isascii() and b"<|" not in word:
-            ids = self[plain]
+        text = word.decode("utf-8", "replace")
+        if (tail := len(text) - len(text.rstrip(MARKS))) and text[:-tail][-1:] in self.letters and "<|" not in text:
+            value = self[word[:-tail]] + self[word[-tail:]]
+        elif self.letters.issuperset(text):
+            value = self.form(self._piece(text))
+        elif text.isascii() and (plain := word.lower()) != word and "<|" not in text:
+            value = self[plain]
         else:
-            ids = array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+            value = self.form(self._whole(text))
         if len(word) <= LONG_WORD:
-            self[word] = ids
-        return ids
+            self[word] = value
+        return value
 
 
 class WordEncoder:
-    """Encodes texts word by word and remembers the ids of words.
+    """Encodes texts word by word and remembers the ids of words, or the numbers of their ids.
 
     The tokenizer must treat words between ASCII white space on their own, as one does that
     drops white space while it splits, and lower-case; then the ids of a text are those of its words.
@@ -66,14 +83,25 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.cache_words = cache_words
-        self.known = _Words(Tokenizer.from_file(path))
+        tokenizer = Tokenizer.from_file(path)
+        self.known = _Words(tokenizer, lambda ids: array("I", ids).tobytes())
+        self.sizes = _Words(tokenizer, len)
+
+    def _look_up(self, words):
+        if len(words) > self.cache_words:    # forget the half that came first
+            for word in list(islice(words, len(words) - self.cache_words // 2)):
+                del words[word]
+        return words.__getitem__
 
     def encode(self, values):
         """For each text, as UTF-8, its ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.cache_words:    # forget the half that came first
-            for word in list(islice(self.known, len(self.known) - self.cache_words // 2)):
-                del self.known[word]
-        return [b"".join(map(self.known.__getitem__, v.split())) for v in values]
+        find = self._look_up(self.known)
+        return [b"".join(map(find, v.split())) for v in values]
+
+    def count(self, values):
+        """For each text, as UTF-8, the number of its ids."""
+        find = self._look_up(self.sizes)
+        return [sum(map(find, v.split())) for v in values]
 
 
 _encoders = {}
@@ -86,6 +114,17 @@ def encoder(path):
     return _encoders[path]
 
 
+def count_tokens(docs, tokenizer_path):
+    """doc_id and n_tokens (with the end id) of each row of (doc_id, text); no ids are built."""
+    def count(batch):
+        for part in small_batches(batch, "text"):
+            sizes = encoder(tokenizer_path).count(utf8(part.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(np.array(sizes, np.int64) + 1)], ["doc_id", "n_tokens"])
+
+    return map_arrow(docs, count, "doc_id bigint, n_tokens bigint")
+
+
 def tokenize(docs, tokenizer_path, end_id=END_ID):
     """doc_id, ids and n_tokens of each row of (doc_id, text), in the same order and partitions."""
     end = array("I", [end_id]).tobytes()
