@@ -5,9 +5,12 @@ nodes of one depth with the bits they differ in; a join with the children of bot
 next frontier, and pairs over the error budget are pruned. Of two fingerprints within k bits,
 either the upper halves differ in at most k/2 bits, or the lower halves in at most (k-1)/2. So the
 trie is walked once in bit order with budget k/2 inside the upper half, and once with the halves
-exchanged and budget (k-1)/2, which keeps frontiers near the number of nodes.
+exchanged and budget (k-1)/2, which keeps frontiers near the number of nodes. Below the half the
+budget is k less the bits already spent.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 BITS = 64
 HALF = BITS // 2
-STRIDE = 3                # bits a frontier descends at once
+STRIDE = 4                # bits a frontier descends at once
 CHUNK = 200_000           # shingles whose bits are unpacked at once
 
 
@@ -61,62 +64,71 @@ def fingerprints(docs, words=SHINGLE_WORDS, seed=SEED):
 
 
 def _prefix(key, depth):
+    if depth == 0:    # a shift by all bits is none
+        return F.lit(0).cast("bigint")
     return F.shiftrightunsigned(key, BITS - depth) if depth < BITS else F.col(key)
 
 
-def _descend(frontier, keys, depth, to, budget):
-    """Children of the frontier's node pairs at depth ``to``, less those over the budget."""
-    left = keys.select(_prefix("key", depth).alias("a"), _prefix("key", to).alias("x")).distinct()
-    right = left.select(F.col("a").alias("b"), F.col("x").alias("y"))
-    changed = F.col("x").bitwiseXOR(F.col("y"))
-    once = (F.col("a") != F.col("b")) | (F.col("x") <= F.col("y"))
-    pairs = frontier.join(left, "a").join(right, "b").where(once)
-    if to < BITS:
-        fresh = changed.bitwiseAND(F.lit((1 << (to - depth)) - 1))
-        pairs = pairs.withColumn("diff", F.col("diff") + F.bit_count(fresh)).where(F.col("diff") <= budget)
-    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), *([] if to == BITS else ["diff"]))
-
-
-def _walk(keys, n, budget):
-    """Pairs of different keys whose upper halves may differ in at most ``budget`` bits."""
-    deepest = min(HALF, max(STRIDE, n.bit_length() - 1))
-    if budget == 0:
-        depth = HALF
-        node = _prefix("key", depth)
-        frontier = keys.select(node.alias("a"), node.alias("b"), F.lit(0).alias("diff")).distinct()
-    else:
-        # the root's pairs of children: a node and what is left of it after a few flips
-        first = min(2 * STRIDE, deepest)
-        nodes = keys.select(_prefix("key", first).alias("a")).distinct()
-        masks = [m for m in range(1 << first) if m.bit_count() <= budget]
-        flips = F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))
-        frontier = nodes.withColumn("flips", flips).select(
-            "a", F.col("a").bitwiseXOR(F.col("flips")).alias("b"), F.bit_count("flips").alias("diff"))
-        frontier = frontier.where("a <= b").join(nodes.withColumnRenamed("a", "b"), "b").select("a", "b", "diff")
-        depth = first
-        while depth < deepest:
-            to = min(depth + STRIDE, deepest)
-            frontier = _descend(frontier, keys, depth, to, budget)
-            depth = to
-    return _descend(frontier, keys, depth, BITS, budget).where("a != b")
+def _nodes(keys, depth, to):
+    """The trie's nodes at depth ``to``: parent at ``depth``, node, and the keys of one that holds three at most."""
+    nodes = keys.groupBy(_prefix("key", depth).alias("a"), _prefix("key", to).alias("x")).agg(
+        F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), F.bit_xor("key").alias("all"))
+    middle = F.col("all").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
+    return nodes.select("a", "x", F.when(F.col("n") == 1, F.array("low")).when(F.col("n") == 2, F.array("low", "high"))
+                        .when(F.col("n") == 3, F.array("low", "high", middle)).alias("ax"))
+
+
+def _walk(keys, upper, budget):
+    """Pairs of different keys that differ in at most ``budget`` bits, and in at most ``upper`` of the upper half.
+
+    A frontier row is a pair of nodes of one depth with the bits they differ in so far. A node with
+    at most three keys is a leaf: pairs of leaves are compared whole and leave the walk, other pairs go on
+    with their children, down to the last bit where there are that many keys.
+    """
+    found = []
+    depth = 2 * STRIDE
+    nodes = _nodes(keys, 0, depth).drop("a")
+    masks = [m for m in range(1 << depth) if m.bit_count() <= upper]
+    flips = F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))
+    pairs = nodes.withColumn("flips", flips).select(
+        "x", "ax", F.col("x").bitwiseXOR(F.col("flips")).alias("y"), F.bit_count("flips").alias("diff"))
+    pairs = pairs.join(nodes.select(F.col("x").alias("y"), F.col("ax").alias("by")), "y").where("x <= y")
+    while True:
+        alone = (F.col("x") == F.col("y")) & (F.size("ax") == 1)
+        pairs = staged(pairs.where(~F.coalesce(alone, F.lit(False))).select("x", "ax", "y", "by", "diff"), "frontier")
+        leaves = F.col("ax").isNotNull() & F.col("by").isNotNull()
+        met = pairs.where(leaves).select("x", "y", F.explode("ax").alias("a"), "by").withColumn("b", F.explode("by"))
+        found.append(met.where("a < b OR (x <> y AND a > b)").select("a", "b"))
+        frontier = pairs.where(~leaves).select(F.col("x").alias("a"), F.col("y").alias("b"), "diff")
+        if depth == BITS or frontier.isEmpty():
+            return reduce(lambda one, other: one.unionByName(other), found)
+        to = min(depth + STRIDE, HALF if depth < HALF else BITS)
+        # only keys below a node of the frontier are looked at again
+        wanted = staged(frontier.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted")
+        left = _nodes(keys.join(wanted, _prefix("key", depth) == F.col("wanted"), "left_semi"), depth, to)
+        right = left.select(F.col("a").alias("b"), F.col("x").alias("y"), F.col("ax").alias("by"))
+        fresh = F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit((1 << (to - depth)) - 1))
+        pairs = frontier.join(left, "a").join(right, "b").where("a <> b OR x <= y")
+        pairs = pairs.withColumn("diff", F.col("diff") + F.bit_count(fresh)).where(
+            F.col("diff") <= (upper if to <= HALF else budget))
+        depth = to
 
 
 def links(keys, max_bits=MAX_BITS):
     """Pairs (a, b) of the distinct fingerprints in ``keys`` (key) within ``max_bits`` bits.
 
-    A fingerprint has at most as many partners as there are ways to flip that many of its bits, so
-    pairs grow with the number of distinct fingerprints, not with the square of a class.
+    Node pairs over the budget leave the walk where they exceed it, so fingerprints that share a half
+    or stem from one template are told apart further down instead of being compared pair by pair.
     """
-    n = keys.count()
     a, b = F.col("a"), F.col("b")
     upper = F.bit_count(F.shiftrightunsigned(a.bitwiseXOR(b), HALF))
     within = F.bit_count(a.bitwiseXOR(b)) <= max_bits
-    straight = _walk(keys, n, max_bits // 2).where(within & (upper <= max_bits // 2))
+    straight = _walk(keys, max_bits // 2, max_bits).where(within & (upper <= max_bits // 2))
     if max_bits == 0:
         return straight
     turned = keys.select(F.shiftleft("key", HALF).bitwiseOR(F.shiftrightunsigned("key", HALF)).alias("key"))
     lower = F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit((1 << HALF) - 1)))   # the upper half, turned
-    other = _walk(turned, n, (max_bits - 1) // 2).where(
+    other = _walk(turned, (max_bits - 1) // 2, max_bits).where(
         within & (upper <= (max_bits - 1) // 2) & (lower > max_bits // 2))
     back = [F.shiftleft(c, HALF).bitwiseOR(F.shiftrightunsigned(c, HALF)).alias(c) for c in ("a", "b")]
     return straight.unionByName(other.select(*back))

@@ -6,6 +6,7 @@ from xxhash import xxh64_intdigest
 
 from auditloom.llm import simhash as op
 from auditloom.llm.components import connected_components
+from auditloom.storage import staged
 from tests.llm.rows import awkward_documents, empty_documents, ordered
 
 
@@ -124,3 +125,35 @@ def test_long_texts_are_read_in_chunks(monkeypatch):
 
 def test_empty_table(spark):
     assert op.near_duplicates(empty_documents(spark)).count() == 0
+
+
+def seen(spark, keys, monkeypatch):
+    """Links of the keys, and how many node pairs the walks wrote."""
+    rows = []
+
+    def count(df, name="stage"):
+        table = staged(df, name)
+        if name == "frontier":
+            rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(op, "staged", count)
+    frame = staged(spark.createDataFrame([(signed(k),) for k in keys], "key bigint"), "keys")
+    return {tuple(sorted((r.a % (1 << 64), r.b % (1 << 64)))) for r in op.links(frame).collect()}, sum(rows)
+
+
+def test_keys_that_share_a_half_are_not_compared_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(5)
+    half = rng.getrandbits(32) << 32
+    keys = {half | rng.getrandbits(32) for _ in range(3_000)}
+    found, pairs = seen(spark, keys, monkeypatch)
+    assert found == brute_links(keys)
+    assert pairs < 3_000 ** 2 / 20
+
+
+def test_variants_of_a_template_leave_the_walk_early(spark, monkeypatch):
+    rng = random.Random(6)
+    keys = {sum(1 << i for i in range(64) if rng.random() < 4 / 64) for _ in range(2_500)}
+    found, pairs = seen(spark, keys, monkeypatch)
+    assert found == brute_links(keys)
+    assert pairs < len(keys) ** 2 / 8
