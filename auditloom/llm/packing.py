@@ -61,7 +61,7 @@ def pieces(lengths, max_tokens=MAX_TOKENS):
     rows = lengths.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
     first = F.col("piece") * max_tokens
     return rows.select(
-        "doc_id", "row", "piece", first.alias("first_token"),
+        *[c for c in lengths.columns if c != "n_tokens"], "piece", first.alias("first_token"),
         F.least(n - first, F.lit(max_tokens)).cast("bigint").alias("n_tokens"))
 
 
@@ -73,13 +73,19 @@ def pack(lengths, max_tokens=MAX_TOKENS, buckets=BUCKETS, batch_tokens=BATCH_TOK
     fit ``batch_tokens``, one at least; only the last batch of a bucket may hold fewer. Every
     token is in one piece. Rows without a length count as empty, and an empty document is a piece
     of 0 tokens; repeated rows are packed one by one. The order inside a bucket is a hash of the
-    row's place, so the members of a batch (not the buckets) depend on the file layout. An
-    empty table gives no rows.
+    document, taken from ``key`` if there is such a column, else from doc_id and n_tokens, so the members
+    of a batch do not depend on the file layout. Only rows whose key occurs more than ``shard_rows``
+    times are spread by their place, too, as such a group may hold a third of all rows. An empty table
+    gives no rows.
     """
     spark = lengths.sparkSession
-    rows = lengths.select(
-        F.col("doc_id"), F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(0)).alias("n_tokens"),
-        F.monotonically_increasing_id().alias("row"))
+    tokens = F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(0))
+    key = F.col("key") if "key" in lengths.columns else F.xxhash64("doc_id", tokens)
+    rows = lengths.select(F.col("doc_id"), tokens.alias("n_tokens"), key.cast("bigint").alias("key"),
+                          F.monotonically_increasing_id().alias("row"))
+    frequent = staged(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows).select(
+        "key", F.lit(True).alias("hot")), "frequent")
+    rows = rows.join(frequent, "key", "left").withColumn("row", F.when(F.col("hot"), F.col("row")).otherwise(0)).drop("hot")
     parts = staged(pieces(rows, max_tokens), "pieces")
     histogram = parts.groupBy("n_tokens").agg(F.count("*").alias("n")).orderBy("n_tokens").collect()
     bounds = best_boundaries([r.n_tokens for r in histogram], [r.n for r in histogram], buckets)
@@ -87,7 +93,7 @@ def pack(lengths, max_tokens=MAX_TOKENS, buckets=BUCKETS, batch_tokens=BATCH_TOK
     shards = max(math.ceil(total / shard_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     limits = F.array(*[F.lit(b).cast("bigint") for b in bounds or [0]])
-    order = F.xxhash64(F.lit(SEED), "row", "piece")
+    order = F.xxhash64(F.lit(SEED), "key", "row", "piece")
     rows = parts.withColumns({
         "bucket": F.size(F.filter(limits, lambda b: b < F.col("n_tokens"))),
         "order": order, "shard": F.pmod(order, F.lit(shards))})
@@ -95,7 +101,7 @@ def pack(lengths, max_tokens=MAX_TOKENS, buckets=BUCKETS, batch_tokens=BATCH_TOK
     sizes = rows.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("bucket", "shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    place = F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("order", "row", "piece"))
+    place = F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("order", "key", "row", "piece", "doc_id", "n_tokens"))
     room = F.greatest(F.floor(F.lit(batch_tokens) / F.greatest("padded_tokens", F.lit(1))), F.lit(1))
     return rows.withColumn("place", place).join(starts, ["bucket", "shard"]).select(
         "doc_id", "piece", "first_token", "n_tokens", "bucket", "padded_tokens",
@@ -103,8 +109,9 @@ def pack(lengths, max_tokens=MAX_TOKENS, buckets=BUCKETS, batch_tokens=BATCH_TOK
 
 
 def token_lengths(docs, tokenizer_path):
-    """doc_id and n_tokens (with the end id) of each row of (doc_id, text)."""
-    return count_tokens(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), tokenizer_path)
+    """doc_id, n_tokens (with the end id) and key, a hash of both columns, of each row of (doc_id, text)."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return count_tokens(rows.withColumn("key", F.xxhash64("doc_id", "text")), tokenizer_path)
 
 
 def pack_documents(docs, tokenizer_path, **options):

@@ -115,14 +115,17 @@ def encoder(path):
 
 
 def count_tokens(docs, tokenizer_path):
-    """doc_id and n_tokens (with the end id) of each row of (doc_id, text); no ids are built."""
+    """n_tokens (with the end id) in place of the text of each row of (text, any others); no ids are built."""
+    kept = [c for c in docs.columns if c != "text"]
+
     def count(batch):
         for part in small_batches(batch, "text"):
             sizes = encoder(tokenizer_path).count(utf8(part.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.array(sizes, np.int64) + 1)], ["doc_id", "n_tokens"])
+                [*[part.column(c) for c in kept], pa.array(np.array(sizes, np.int64) + 1)], [*kept, "n_tokens"])
 
-    return map_arrow(docs, count, "doc_id bigint, n_tokens bigint")
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in kept)
+    return map_arrow(docs.select(*kept, "text"), count, f"{kinds}n_tokens bigint")
 
 
 def tokenize(docs, tokenizer_path, end_id=END_ID):

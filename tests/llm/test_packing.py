@@ -82,3 +82,17 @@ def test_no_window_holds_a_bucket(spark):
     frame = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(10).alias("n_tokens"))
     plan = op.pack(frame)._jdf.queryExecution().toString()
     assert "windowspecdefinition(bucket" in plan and "shard" in plan.split("windowspecdefinition(bucket", 1)[1][:60]
+
+
+@pytest.mark.parametrize("splits", [1, 7])
+def test_batches_do_not_depend_on_the_layout(spark, splits):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    packed = lambda frame: ordered(map(tuple, op.pack_documents(
+        frame, tokenizer_path(), max_tokens=128, buckets=4, batch_tokens=1024, shard_rows=40).collect()))
+    assert packed(docs.repartition(splits, "text")) == packed(docs.orderBy(F.desc("doc_id")).repartition(3))
+
+
+def test_a_third_of_equal_rows_is_spread(spark):
+    frame = spark.range(3_000).select(F.when(F.col("id") < 1_000, 7).otherwise(F.col("id")).alias("doc_id"), F.lit(10).alias("n_tokens"))
+    found = op.pack(frame, shard_rows=50, batch_tokens=100).collect()
+    check(found, [(7 if i < 1_000 else i, 10) for i in range(3_000)], op.MAX_TOKENS, op.BUCKETS, 100)
