@@ -32,7 +32,9 @@ TREES, DEPTH, STEP = 25, 3, 0.2
 SEED = 7
 
 WORD = re.compile(r"[^\W\d_]+")
-OBFUSCATED = re.compile(r"[^\W\d_]+[@$!*#0134578+]+[^\W\d_]*|[@$!*#0134578+]+[^\W\d_]+")
+# a whole run of letters, digits and marks with a mark in it; tried only where a run begins, so scans are linear
+MASKED = re.compile(r"(?<![\w@$!*#+])[^\W0134578]*+[@$!*#0134578+][\w@$!*#+]*+")
+LETTER = re.compile(r"[^\W\d_]")
 SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 PLAIN = str.maketrans("@$!013457", "asioieast")
 SPACED = re.compile(r"\b(?:[^\W\d_][ .*-]){3,}[^\W\d_]\b")
@@ -118,14 +120,14 @@ def features(data, text, lexicon):
             elif word in SECOND_PERSON:
                 near += i - last_hit <= NEAR
                 last_second = i
-    hidden = OBFUSCATED.findall(text)
+    hidden = [w for w in MASKED.findall(text) if LETTER.search(w)]
     unmasked = sum(lexicon.best(w.lower().translate(PLAIN).strip("*#8+"))[0] > 0 for w in hidden)
     spaced = SPACED.findall(lowered)
     unmasked += sum(lexicon.best(re.sub(r"[ .*-]", "", w))[0] > 0 for w in spaced)
     capitals, exclaim, ask, marks, symbols, digits = _byte_rates(data)
     return (word_hits / n, stem_hits / n, log1p(word_hits), log1p(stem_hits), log1p(kinds), odds / n, float(most),
             near / n, second / n, capitals, len(SHOUTED.findall(text)) / n, exclaim, ask, marks, symbols, digits,
-            len(hidden) / n, unmasked / n, len(spaced) / n, log1p(n))
+            len(hidden) / n, unmasked / n, len(spaced) / n, log1p(len(words)))
 
 
 def _with_features(docs, lexicon, carried):
@@ -234,7 +236,10 @@ def train(docs, labels, fit_rows=FIT_ROWS):
     held = staged(_raw_scores(rows.where(~fitted), trees).select("label", "raw"), "calibration")
     if held.select("label").distinct().count() < 2:
         return Model(lexicon, trees, None, 0.0)
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(held)
+    # equal raw scores, of which there are few, meet in one task: they are averaged first
+    held = held.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    calibration = IsotonicRegression(
+        featuresCol="raw", labelCol="label", predictionCol="score", weightCol="weight").fit(held)
     return Model(lexicon, trees, calibration, 0.0)
 
 

@@ -1,5 +1,6 @@
 import random
 import string
+import time
 import zlib
 
 import pytest
@@ -79,3 +80,15 @@ def test_features_see_disguise():
     assert row("you idiot")[at["near_second"]] > 0 and row("idiotic man")[at["stem_density"]] == 0.5
     assert row("an 1d10t here")[at["obfuscated_hits"]] > 0 and row("an i.d.i.o.t here")[at["obfuscated_hits"]] > 0
     assert row("SHUT up!!!")[at["shouted"]] > 0 and row("")[at["length"]] == 0
+
+
+def test_masked_words_are_whole_runs():
+    found = [w for w in op.MASKED.findall("an 1d10t, 1d!ot sh*t a$$ plain 2024 é1é x_1 ! l8r 42") if op.LETTER.search(w)]
+    assert found == ["1d10t", "1d!ot", "sh*t", "a$$", "é1é", "x_1", "l8r"]
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, "01" * 500_000, "\u4e2d" * 300_000, "a1 " * 300_000, "a-" * 400_000, "A" * 1_000_000])
+def test_long_words_take_linear_time(text):
+    started = time.process_time()
+    op.features(text.encode(), text, op.Lexicon({"idiot": 5.0}))
+    assert time.process_time() - started < 3
