@@ -9,6 +9,7 @@ are ordinary. No condition but the ratio and the length decides: a token may hav
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,21 @@ def base_spans(text):
     return sorted(found)
 
 
-def _free(spans, start, end):
-    return all(end <= s or start >= e for s, _, e in spans)
+class _Taken:
+    """The places that spans, in order of start, cover."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for start, _, end in spans:
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def free(self, start, end):
+        i = bisect_left(self.starts, end) - 1    # the last covered run that begins before the end
+        return i < 0 or self.ends[i] <= start
 
 
 def _codes(token):
@@ -87,7 +101,8 @@ def sample_strings(docs, fit_docs=FIT_DOCS):
                 secrets += [m.group(2) for m in ASSIGN.finditer(text) if len(m.group(2)) >= MIN_TOKEN]
                 seed = hashlib.sha256(str(doc_id).encode())
                 secrets += [seed.hexdigest()[:40], _letters(seed.digest(), 62)]
-                words = {m.group() for m in WORD.finditer(text) if _free(spans, *m.span())}
+                taken = _Taken(spans)
+                words = {m.group() for m in WORD.finditer(text) if taken.free(*m.span())}
                 ordinary = sorted(words) + _joined(sorted(words), seed.digest()[0])
                 values += secrets + ordinary
                 random += [True] * len(secrets) + [False] * len(ordinary)
@@ -145,10 +160,10 @@ def ratio(model, token):
 def find_spans(text, model, threshold=THRESHOLD):
     """Base spans and those of tokens outside them that the models call random."""
     base = base_spans(text)
-    added = []
+    added, taken = [], _Taken(base)
     for m in TOKEN.finditer(text):
         token = m.group()
-        if _free(base, *m.span()) and ratio(model, token) >= threshold:
+        if taken.free(*m.span()) and ratio(model, token) >= threshold:
             added.append((m.start(), 3, m.end()))
     return base, sorted(base + added)
 

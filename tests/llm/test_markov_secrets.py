@@ -1,7 +1,9 @@
 import random
 import re
 import string
+import time
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -89,3 +91,13 @@ def test_rows_do_not_depend_on_partitions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     one, many = op.find_secrets(docs.coalesce(1)), op.find_secrets(docs.repartition(7))
     assert ordered(map(tuple, one.collect())) == ordered(map(tuple, many.collect()))
+
+
+def test_long_texts_take_linear_time():
+    model = np.zeros((op.START + 1, op.START + 1))
+    rng = random.Random(1)
+    hexes = " ".join("%032x" % rng.getrandbits(128) for _ in range(31_000))
+    for text in (hexes, "x" * 1_000_000, "0" * 1_000_000, "password=" * 110_000):
+        started = time.process_time()
+        op.find_spans(text, model)
+        assert time.process_time() - started < 3
