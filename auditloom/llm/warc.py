@@ -69,6 +69,13 @@ def _filesystem(path):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
+def qualified(spark, path):
+    """The path with its scheme, as Spark resolves it: a path without one belongs to the default file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(folder).toString()
+
+
 class _Archive:
     """An archive being written; every attempt of a task has names of its own."""
 
@@ -115,7 +122,7 @@ def write_archives(pages, folder=None, revisit_bytes=REVISIT_BYTES, archive_byte
     archives of lost or repeated attempts are never read. An empty table gives no archives.
     """
     spark = pages.sparkSession
-    folder = folder or new_path(spark, "warc")
+    folder = qualified(spark, folder or new_path(spark, "warc"))
     rows = plan_revisits(pages, revisit_bytes)
 
     def write(stream):

@@ -86,3 +86,12 @@ def test_cut_file_is_found():
 def test_empty_table(spark):
     manifest = op.write_archives(pages(spark).limit(0))
     assert op.read_archives(manifest).count() == 0
+
+
+def test_paths_without_a_scheme_are_those_spark_resolves(spark, tmp_path):
+    assert op.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert op.qualified(spark, "file:///x/y") == "file:/x/y"
+    pages = spark.createDataFrame([(1, "u", "x")], "page_id bigint, url string, html string")
+    manifest = op.write_archives(pages, str(tmp_path / "warc"))
+    assert manifest.first().archive.startswith(f"file:{tmp_path}") and len(list((tmp_path / "warc").iterdir())) == 1
+    assert op.read_archives(manifest).count() == 1
