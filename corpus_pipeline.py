@@ -4,9 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 again as the next stage's docs. All but the last return the columns of documents.
 
 When a stage begins, the result of the one before is a table of its own, so that stage's
-intermediate tables are removed: the disk in use is that of one stage, not of all. A caller that runs
-stages one by one has to write each result before the next stage begins. A session runs one pipeline
-over a folder at a time.
+intermediate tables are removed: the disk in use is that of one stage, not of all. ``run`` keeps a list
+of its own, so runs do not touch each other's tables. A caller that runs stages one by one has to write
+each result before the next stage begins, and passes a dict of its own as ``scratch`` if it runs
+several pipelines over one folder in an application.
 """
 
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from auditloom.llm.common import let_workers_import, table
 from auditloom.llm.queries import tokenizer_path
 from auditloom.storage import new_path, remove, scope, staged, write_staged
 
-_scratch = {}   # folder of intermediate tables by application, input folder and place of the stage
+_scratch = {}   # folder of intermediate tables by application, input folder and place, for stages run one by one
 
 
 def drop_toxic(spark, docs, sf_dir):
@@ -65,13 +66,13 @@ def pack_batches(spark, docs, sf_dir):
 def _in_order(*stages):
     """The stages, each of which removes the intermediate tables of the one before."""
     def scoped(place, name, function):
-        def stage(spark, docs, sf_dir):
+        def stage(spark, docs, sf_dir, scratch=_scratch):
             run_of = (spark.sparkContext.applicationId, sf_dir)
-            done = _scratch.pop((*run_of, place - 1), None)
+            done = scratch.pop((*run_of, place - 1), None)
             if done:
                 remove(spark, done)
             with scope(spark, function.__name__) as path:
-                _scratch[*run_of, place] = path
+                scratch[*run_of, place] = path
                 return function(spark, docs, sf_dir)
 
         stage.__doc__ = function.__doc__
@@ -94,11 +95,11 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """All stages over the documents of ``sf_dir``."""
-    docs, last = table(spark, sf_dir, "documents"), None
+    docs, last, scratch = table(spark, sf_dir, "documents"), None, {}
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "_"))
-        docs = write_staged(stage(spark, docs, sf_dir), path)
+        docs = write_staged(stage(spark, docs, sf_dir, scratch), path)
         if last:
             remove(spark, last)
         last = path
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir, scratch)
