@@ -26,8 +26,8 @@ def ratio(part, whole):
 
 
 def strip(text):
-    """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Trim every kind of white space, beyond ASCII too, and the separators U+001C to U+001F."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z", "")
 
 
 def title(text):

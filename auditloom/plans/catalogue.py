@@ -15,7 +15,7 @@ from auditloom.plans.workspace import workspace
 from auditloom.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS, RAW_COLUMNS
 from auditloom.sources import sampling, synthetic
 from auditloom.sources.sinks import read_table, write_table
-from auditloom.sources.transactions import load, scan
+from auditloom.sources.transactions import load, load_all, scan
 from auditloom.storage import new_path, staged
 
 QUERIES = {}
@@ -42,11 +42,47 @@ def scan_by_suffix(ws):
     write_table(ws.transactions(), path, "raw")
     counts = [
         scan(ws.spark, f"{path}/raw.{kind}").groupBy(F.lit(kind).alias("format")).agg(
-            F.count("*").alias("rows"), F.sum("row_id").alias("id_sum"))
+            F.count("*").alias("rows"), F.sum(F.col("row_id").cast("bigint")).alias("id_sum"))
         for kind in ("parquet", "csv")]
     return counts[0].unionByName(counts[1])
 
 
+def _spoilt(ws):
+    """(rows, rejects) of the raw transactions after a spreadsheet has written some values its own way."""
+    id_ = F.col("row_id")
+    amount = F.when(F.col("amount").isNotNull(), F.format_string("%.2f", F.col("amount")))
+    rows = ws.transactions().withColumns({
+        "amount": F.when(id_ % 37 == 0, F.concat(F.lit("$"), amount)).when(id_ % 41 == 0, F.format_number("amount", 2))
+        .when(id_ % 43 == 0, "N/A").otherwise(amount),
+        "step": F.when(id_ % 5 == 0, F.concat(F.col("step").cast("string"), F.lit(".0")))
+        .when(id_ % 53 == 0, F.concat(F.col("step").cast("string"), F.lit(".5"))).otherwise(F.col("step").cast("string")),
+        "isFraud": F.when(id_ % 3 == 0, F.initcap((F.col("isFraud") == 1).cast("string")))
+        .when(id_ % 59 == 0, "yes").otherwise(F.col("isFraud").cast("string"))})
+    path = new_path(ws.spark, "csv")
+    write_table(rows, path, "raw", ("csv",))
+    return load_all(ws.spark, f"{path}/raw.csv")
+
+
+@query
+def rejected_rows(ws):
+    """Rows of a CSV file with values that have no reading in their columns' types."""
+    _, rejects = _spoilt(ws)
+    return rejects.select(
+        "row_id", F.array_join("unreadable", ",").alias("unreadable"), F.get_json_object("content", "$.amount").alias("amount_text"),
+        F.get_json_object("content", "$.step").alias("step_text"), F.get_json_object("content", "$.isFraud").alias("label_text"))
+
+
+@query
+def load_audit(ws):
+    """Where the rows of that file went: read, rejected, dropped without an amount, kept by cleaning."""
+    rows, rejects = _spoilt(ws)
+    kept = rows.agg(
+        F.count("*").alias("rows_read"), F.count_if(F.col("amount").isNull()).alias("rows_without_amount"),
+        F.sum("step").alias("step_sum"), F.count_if(F.col("isFraud") == 1).alias("fraud_rows"),
+        F.round(F.sum(F.col("amount").cast("decimal(18,2)")).cast("double"), 2).alias("amount_sum"))
+    return kept.crossJoin(rejects.agg(F.count("*").alias("rows_rejected")))   # a row each
+
+
 @query
 def write_roundtrip(ws):
     path = new_path(ws.spark, "clean")

@@ -17,7 +17,7 @@ from auditloom.operators.signals import (
 from auditloom.plans.warehouse import build_tables, save_tables
 from auditloom.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS
 from auditloom.sources.sinks import write_table
-from auditloom.sources.transactions import load, with_row_id
+from auditloom.sources.transactions import check_rejects, load_all, with_row_id
 from auditloom.storage import concurrently, staged
 
 
@@ -88,15 +88,20 @@ def pipeline_summary(flagged):
     )
 
 
-def run_full_pipeline(raw, outdir, multivariate=True, formats=("parquet", "csv"), database=None, **skew):
+def run_full_pipeline(
+        raw, outdir, multivariate=True, formats=("parquet", "csv"), database=None, max_rejects=0, **skew):
     """Profile, clean, flag, model and write everything; returns (tables, summary, seconds).
 
     ``raw`` is a DataFrame with a row_id, or a path; ``database`` also saves the star schema
-    as tables there. Independent writes run side by side.
+    as tables there. Rows of a file with unreadable values are written as ``rejected_rows``; if there
+    are more than ``max_rejects``, the job ends with an error after that. Independent writes run side
+    by side.
     """
     started = time.time()
     if isinstance(raw, str):
-        raw = load(SparkSession.active(), raw)
+        raw, rejects = load_all(SparkSession.active(), raw)
+        write_table(rejects, outdir, "rejected_rows", ("parquet",))
+        check_rejects(rejects, max_rejects)
     spark = raw.sparkSession
     profile, flagged = concurrently(
         spark,

@@ -360,6 +360,31 @@ def _texts():
     add("scan_by_suffix", RAW, """
         SELECT f AS format, count(*) AS rows, CAST(sum(row_id) AS BIGINT) AS id_sum
         FROM txn, (VALUES ('parquet'), ('csv')) AS v(f) GROUP BY f""")
+    spoilt = RAW + """,
+spoilt AS (
+    SELECT *, CASE WHEN row_id % 37 = 0 THEN '$' || printf('%.2f', amount)
+                   WHEN row_id % 41 = 0 THEN format('{:,.2f}', amount)
+                   WHEN row_id % 43 = 0 THEN 'N/A' ELSE printf('%.2f', amount) END AS amount_text,
+           CASE WHEN row_id % 5 = 0 THEN step || '.0' WHEN row_id % 53 = 0 THEN step || '.5'
+                ELSE CAST(step AS VARCHAR) END AS step_text,
+           CASE WHEN row_id % 3 = 0 THEN CASE WHEN isFraud = 1 THEN 'True' ELSE 'False' END WHEN row_id % 59 = 0 THEN 'yes'
+                ELSE CAST(isFraud AS VARCHAR) END AS label_text
+    FROM txn),
+judged AS (
+    SELECT *, concat_ws(',', CASE WHEN step_text LIKE '%.5' THEN 'step' END,
+               CASE WHEN amount_text LIKE '$%' OR amount_text LIKE '%,%' THEN 'amount' END,
+               CASE WHEN label_text = 'yes' THEN 'isFraud' END) AS unreadable
+    FROM spoilt)
+"""
+    add("rejected_rows", spoilt, """
+        SELECT row_id, unreadable, amount_text, step_text, label_text FROM judged WHERE unreadable <> ''""")
+    add("load_audit", spoilt, """
+        SELECT count(*) FILTER (unreadable = '') AS rows_read, count(*) FILTER (unreadable <> '') AS rows_rejected,
+               count(*) FILTER (unreadable = '' AND (amount IS NULL OR amount_text = 'N/A')) AS rows_without_amount,
+               CAST(sum(step) FILTER (unreadable = '') AS BIGINT) AS step_sum,
+               count(*) FILTER (unreadable = '' AND isFraud = 1) AS fraud_rows,
+               CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (unreadable = '' AND amount_text <> 'N/A') AS DOUBLE) AS amount_sum
+        FROM judged""")
     add("write_roundtrip", CLEAN, """
         SELECT row_id, step, category, amount, vendor_id, timestamp, is_night, is_near_duplicate FROM clean""")
     add("warehouse_load", STAR, """

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from auditloom.operators.clean import clean, normalize_category
 from auditloom.operators.quality import audit_summary, column_profile
 from auditloom.plans.pipeline import run_full_pipeline
 from auditloom.plans.views import register_views, risk_color, slice_fact
@@ -8,7 +9,7 @@ from auditloom.schema import RAW_COLUMNS
 from auditloom.sources.sampling import sample_summary, stratified_sample
 from auditloom.sources.sinks import write_table
 from auditloom.sources.synthetic import generate_transactions
-from auditloom.sources.transactions import load, staging
+from auditloom.sources.transactions import UnreadableValues, load, load_all, staging
 from tests.frames import five_rows, random_raw
 
 
@@ -125,3 +126,68 @@ def test_slicers_and_colours(spark, ws):
     colors = {r[0]: r[1] for r in spark.createDataFrame([("HIGH",), ("x",)], "risk_level string").select(
         "risk_level", risk_color()).collect()}
     assert colors == {"HIGH": "#F57C00", "x": "#9E9E9E"}
+
+
+HEADER = ",".join(RAW_COLUMNS)
+
+
+def csv_file(tmp_path, *lines, header=HEADER):
+    (tmp_path / "raw.csv").write_text("\n".join([header, *lines]) + "\n")
+    return f"{tmp_path}/raw.csv"
+
+
+def test_unreadable_values_are_rejected_and_never_missing(spark, tmp_path):
+    path = csv_file(
+        tmp_path,
+        "1,PAYMENT,10.50,C1,100,89.5,M1,0,10.5,0,0",            # 0: plain
+        '2,PAYMENT,"1,200.50",C1,100,89.5,M1,0,10.5,0,0',       # 1: separator of thousands
+        "3,PAYMENT,$99.00,C1,100,89.5,M1,0,10.5,0,0",           # 2: currency
+        "4.0,PAYMENT, 7e1 ,C1,100,89.5,M1,0,10.5,True,false",   # 3: whole number with a fraction, labels as words
+        "5.5,PAYMENT,1,C1,100,89.5,M1,0,10.5,yes,0",            # 4: two columns
+        "6,PAYMENT,NA,C1,nan,89.5,M1,0,10.5,0,0",               # 5: missing
+        "7,PAYMENT,,C1,100,89.5,M1,0,10.5,0,0",                 # 6: missing
+        "8,PAYMENT,1,C1,100,89.5,M1,0,10.5,0",                  # 7: too short
+        "9,PAYMENT,1,C1,100,89.5,M1,0,10.5,0,0,0",              # 8: too long
+        "10,PAYMENT,1d,C1,inf,89.5,M1,0,10.5,3000000000,0",     # 9: not numbers, out of range
+        "11,PAYMENT,-.5,C1,100,89.5,M1,0,10.5,1,0")             # 10
+    rows, rejects = load_all(spark, path)
+    found = {r.row_id: r for r in rows.collect()}
+    assert {i: (r.step, r.amount, r.isFraud) for i, r in found.items()} == {
+        0: (1, 10.5, 0), 3: (4, 70.0, 1), 5: (6, None, 0), 6: (7, None, 0), 10: (11, -0.5, 1)}
+    assert found[5].oldbalanceOrg is None
+    bad = {r.row_id: r for r in rejects.collect()}
+    assert {i: r.unreadable for i, r in bad.items()} == {
+        1: ["amount"], 2: ["amount"], 4: ["step", "isFraud"], 7: ["line"], 8: ["line"],
+        9: ["amount", "oldbalanceOrg", "isFraud"]}
+    assert "1,200.50" in bad[1].content and "9,PAYMENT,1,C1" in bad[8].content
+    assert clean(rows).count() + rows.where("amount IS NULL").count() + rejects.count() == 11
+
+
+def test_a_limit_of_rejects_raises(spark, tmp_path):
+    path = csv_file(tmp_path, "1,PAYMENT,x,C1,1,1,M1,0,0,0,0", "2,PAYMENT,5,C1,1,1,M1,0,0,0,0")
+    with pytest.raises(UnreadableValues, match="amount: 1") as caught:
+        load(spark, path)
+    assert caught.value.rejects.count() == 1
+    assert [r.amount for r in load(spark, path, max_rejects=1).collect()] == [5.0]
+    with pytest.raises(UnreadableValues):
+        run_full_pipeline(path, str(tmp_path / "out"))
+    assert spark.read.parquet(f"{tmp_path}/out/rejected_rows.parquet").count() == 1
+
+
+def test_typed_input_is_checked_too(spark, tmp_path):
+    df = five_rows(spark).withColumns({
+        "step": F.col("step") + F.when(F.col("row_id") == 4, 0.5).otherwise(0.0), "isFraud": F.col("isFraud") == 1,
+        "amount": F.col("amount").cast("string")})
+    write_table(df, str(tmp_path), "raw", ("parquet",))
+    rows, rejects = load_all(spark, f"{tmp_path}/raw.parquet")
+    assert [(r.row_id, r.isFraud, r.amount) for r in rows.orderBy("row_id").collect()] == [
+        (0, 0, 10.5), (1, 1, 50000.0), (2, 1, 50000.0), (3, 0, None)]
+    assert [(r.row_id, r.unreadable) for r in rejects.collect()] == [(4, ["step"])]
+    write_table(five_rows(spark), str(tmp_path), "plain", ("parquet",))
+    assert load_all(spark, f"{tmp_path}/plain.parquet")[1].count() == 0
+
+
+@pytest.mark.parametrize("space", [" ", " ", "　", "\u0085", "\u001c", "\u001f", "\t", "\r\n", " "])
+def test_categories_lose_every_kind_of_space(spark, space):
+    df = five_rows(spark).withColumn("type", F.concat(F.lit(space), F.lit("a" + space + "b"), F.lit(space * 2)))
+    assert {r.type for r in normalize_category(df).select("type").collect()} == {("a" + space + "b").upper()}
