@@ -121,6 +121,25 @@ def exact_percentiles(df, value, points, by, max_values=None, missing_keys=False
         *by, *[F.col("_p")[i].alias(name) for i, name in enumerate(points)])
 
 
+def value_at_place(df, column, place, bits=16):
+    """The value at ``place`` (from 0, smallest first) of a column of whole numbers, without sorting or shuffling them.
+
+    Counting the values without their last ``bits`` bits brackets the place; only values inside the
+    bracket, 2^bits different ones at most, are counted one by one. Both counts are combined in the tasks.
+    """
+    def step(rows, key, left):
+        cells = rows.groupBy(key.alias("key")).agg(F.count("*").alias("n")).orderBy("key").collect()
+        for r in cells:
+            if left < r.n:
+                return r.key, left
+            left -= r.n
+        raise IndexError(f"place {place} is beyond the rows")
+
+    value = F.col(column).cast("bigint")
+    bracket, left = step(df.where(value.isNotNull()), F.shiftright(value, bits), place)
+    return step(df.where(F.shiftright(value, bits) == bracket), value, left)[0]
+
+
 def column_percentiles(df, columns, points, max_values=None):
     """Percentiles of several columns in one pass, as one row of ``<column>_<point>``."""
     long = df.select(F.explode(F.array(*[

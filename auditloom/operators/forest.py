@@ -1,7 +1,9 @@
 """Isolation forest (Liu, Ting, Zhou, ICDM 2008) fitted and applied on the executors.
 
 The trees are trained one per group on small samples; their nodes (at most 511 per tree) are
-the only thing that passes the driver, which broadcasts them for scoring.
+the only thing that passes the driver, which broadcasts them for scoring. Choices come from a hash
+in whole numbers that any SQL engine can state, and path lengths are whole millionths, so sums do not
+depend on their order and the same rows are outliers wherever the definition is evaluated.
 """
 
 import math
@@ -12,26 +14,37 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from auditloom.functions.percentiles import column_percentiles
+from auditloom.functions.percentiles import column_percentiles, value_at_place
 from auditloom.storage import staged
 
 # The executors get the functions below with the task, so they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FEATURES = ["amount", "hour_of_day", "step", "balance_delta_orig"]
-HASH_RANGE = 1 << 31
+PRIME = 2_147_483_647      # hashes are below it
+UNIT = 1_000_000           # parts of a unit of path length
+SAMPLE = -1                # stands in a tree's place where rows of the sample are chosen
 
 
-def _path_length(n):
-    """Average depth of an unsuccessful search among n points."""
+def mixed(number, other, seed):
+    """A hash below ``PRIME`` of two whole numbers, for columns as for plain numbers; ``number`` is below it, too."""
+    x = (number * 48_271 + other * 69_621 + seed * 40_692 + 1) % PRIME
+    for add in (12_345, 54_321):
+        square = x * x % PRIME
+        x = (square * square % PRIME * x % PRIME * 16_807 + add) % PRIME
+    return x
+
+
+def path_length(n):
+    """Average depth of an unsuccessful search among n points, in millionths."""
     if n <= 1:
-        return 0.0
+        return 0
     if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n
+        return UNIT
+    return round((2.0 * (math.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n) * UNIT)
 
 
-def _grow(points, depth, rng):
+def _grow(points, depth, tree, seed):
     """One tree as a full binary heap: feature, threshold and path length of every slot.
 
     Below a leaf all slots repeat its path length, so scoring may always walk to the bottom.
@@ -39,7 +52,7 @@ def _grow(points, depth, rng):
     slots = 2 ** (depth + 1) - 1
     feature = np.zeros(slots, dtype=np.int32)
     threshold = np.full(slots, np.inf)
-    length = np.zeros(slots)
+    length = np.zeros(slots, dtype=np.int64)
     todo = [(0, 0, points)]
     while todo:
         slot, level, rows = todo.pop()
@@ -48,11 +61,11 @@ def _grow(points, depth, rng):
         if level == depth or len(rows) <= 1 or len(usable) == 0:
             first, width = slot, 1
             while first < slots:
-                length[first:first + width] = level + _path_length(len(rows))
+                length[first:first + width] = level * UNIT + path_length(len(rows))
                 first, width = 2 * first + 1, 2 * width
             continue
-        f = int(rng.choice(usable))
-        cut = rng.uniform(low[f], high[f])
+        f = int(usable[mixed(slot, 2 * tree, seed) * len(usable) // PRIME])
+        cut = low[f] + mixed(slot, 2 * tree + 1, seed) / PRIME * (high[f] - low[f])
         feature[slot], threshold[slot] = f, cut
         right = rows[:, f] >= cut
         todo.append((2 * slot + 1, level + 1, rows[~right]))
@@ -60,12 +73,12 @@ def _grow(points, depth, rng):
     return feature, threshold, length
 
 
-def _mean_length(points, trees, depth):
+def _total_length(points, trees, depth):
     n = len(points)
     columns = np.ascontiguousarray(points.T).ravel()
     row = np.arange(n, dtype=np.int32)
     place, value, cut = np.empty(n, dtype=np.int32), np.empty(n), np.empty(n)
-    total = np.zeros(n)
+    total = np.zeros(n, dtype=np.int64)
     for feature, threshold, length in trees:
         start = (feature * n).astype(np.int32)
         slot = np.zeros(n, dtype=np.int32)
@@ -76,7 +89,7 @@ def _mean_length(points, trees, depth):
             np.take(threshold, slot, out=cut, mode="clip")
             slot = 2 * slot + 1 + (value >= cut)
         total += length[slot]
-    return total / len(trees)
+    return total
 
 
 def with_balance_delta(df):
@@ -107,15 +120,18 @@ class IsolationForest:
     def _features(self, df):
         return [c for c in FEATURES if c in df.columns]
 
+    def _place(self, tree):
+        return mixed(F.pmod("row_id", F.lit(PRIME)).cast("bigint"), tree, self.seed)
+
     def _sample(self, df, features):
         """About ``fit_rows`` rows, chosen by a hash of row_id."""
         columns = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
         rows = df.select("row_id", *columns)
         share = F.lit(float(self.fit_rows)) / rows.agg(F.count("*").cast("double")).scalar()
-        place = F.pmod(F.xxhash64("row_id", F.lit(self.seed)), F.lit(HASH_RANGE)) / HASH_RANGE
-        return staged(rows.where(place < share), "forest_sample")
+        return staged(rows.where(self._place(SAMPLE) / PRIME < share), "forest_sample")
 
-    def fit(self, df):
+    def grow(self, df):
+        """The trees, without a threshold."""
         df = with_balance_delta(df)
         features = self._features(df)
         sample = self._sample(df, features)
@@ -124,62 +140,88 @@ class IsolationForest:
         depth = max(1, math.ceil(math.log2(max(per_tree, 2))))
         seed = self.seed
 
-        def place(tree):
-            return F.pmod(F.xxhash64("row_id", tree, F.lit(seed + 1)), F.lit(HASH_RANGE))
-
         # Twice the rows a tree needs are drawn for it; it keeps those with the lowest hashes.
-        reach = int(min(1.0, 2.0 * self.tree_rows / max(size, 1)) * HASH_RANGE)
+        reach = int(min(1.0, 2.0 * self.tree_rows / max(size, 1)) * PRIME)
         numbers = F.sequence(F.lit(0), F.lit(self.trees - 1))
         drawn = (
-            sample.withColumn("tree", F.explode(F.filter(numbers, lambda t: place(t) < reach)))
-            .withColumn("place", place(F.col("tree")))
+            sample.withColumn("tree", F.explode(F.filter(numbers, lambda t: self._place(t) < reach)))
+            .withColumn("place", self._place(F.col("tree")))
         )
 
         def grow(key, pdf):
             pdf = pdf.sort_values(["place", "row_id"]).head(per_tree)
-            points = pdf[features].to_numpy(dtype=float)
-            tree = _grow(points, depth, np.random.default_rng([seed, int(key[0])]))
+            tree = _grow(pdf[features].to_numpy(dtype=float), depth, int(key[0]), seed)
             names = ("feature", "threshold", "length")
             return pd.DataFrame({"tree": [int(key[0])], **{n: [a] for n, a in zip(names, tree)}})
 
         # an explicit number, or the few rows would be put into one task
         tasks = min(self.trees, df.sparkSession.sparkContext.defaultParallelism)
         grown = drawn.repartition(tasks, "tree").groupBy("tree").applyInPandas(
-            grow, "tree int, feature array<int>, threshold array<double>, length array<double>")
+            grow, "tree int, feature array<int>, threshold array<double>, length array<bigint>")
         nodes = [
             (np.array(r.feature), np.array(r.threshold), np.array(r.length))
             for r in sorted(grown.collect(), key=lambda r: r.tree)]
-        model = ForestModel(df.sparkSession, features, nodes, depth, _path_length(per_tree))
-        # trees need few rows, but the share of outliers is one of all rows
-        scores = model.score(df, "_score").select("_score")
-        model.cutoff = column_percentiles(scores, ["_score"], {"cutoff": 1.0 - self.contamination}).first()[0]
-        return model
+        return ForestModel(df.sparkSession, features, nodes, depth, path_length(per_tree), self.contamination)
+
+    def fit(self, df):
+        """Trees, and the threshold of the outliers among all rows of ``df``."""
+        model = self.grow(df)
+        return model.choose(staged(model.totals(with_balance_delta(df), "_total").select("_total"), "totals"), "_total")
 
 
 class ForestModel:
-    def __init__(self, spark, features, nodes, depth, normal):
+    def __init__(self, spark, features, nodes, depth, normal, contamination):
         self.features = features
         self.depth = depth
-        self.normal = normal
+        self.trees = len(nodes)
+        self.normal = max(normal, 1) * max(len(nodes), 1)
+        self.contamination = contamination
         self.nodes = spark.sparkContext.broadcast(nodes)
-        self.cutoff = None
+        self.threshold = None    # rows whose total is less are outliers
 
-    def score(self, df, name):
-        """Add the anomaly score in (0, 1]; short paths score high."""
-        nodes, depth, normal = self.nodes, self.depth, self.normal
+    def totals(self, df, name):
+        """Add the sum of path lengths over all trees, in millionths; outliers have short paths."""
+        nodes, depth = self.nodes, self.depth
 
-        @F.pandas_udf("double")
-        def anomaly(*columns: pd.Series) -> pd.Series:
+        @F.pandas_udf("bigint")
+        def total(*columns: pd.Series) -> pd.Series:
             points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            return pd.Series(np.exp2(-_mean_length(points, nodes.value, depth) / max(normal, 1e-9)))
+            return pd.Series(_total_length(points, nodes.value, depth))
 
         filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.features]
-        return df.withColumn(name, anomaly(*filled))
+        return df.withColumn(name, total(*filled))
+
+    def score(self, df, name):
+        """Add the anomaly score in (0, 1]; short paths score high."""
+        return self.totals(df, name).withColumn(name, F.pow(F.lit(2.0), -F.col(name) / F.lit(float(self.normal))))
+
+    def choose(self, scored, name):
+        """Set the threshold so that rows scoring above the quantile 1 - contamination are the outliers.
+
+        The score falls as the total rises, so the row at that quantile is found by its place among the
+        totals from the largest down; rows of a smaller total are above it.
+        """
+        n = scored.count()
+        if n:
+            place = math.floor((1.0 - self.contamination) * (n - 1))
+            self.threshold = value_at_place(scored, name, n - 1 - place)
+        return self
+
+    def flag(self, df, name):
+        """Turn the totals of ``totals`` into flag_multivariate_outlier."""
+        return df.withColumn("flag_multivariate_outlier", F.col(name) < F.lit(self.threshold)).drop(name)
 
     def transform(self, df):
-        df = self.score(with_balance_delta(df), "_outlier")
-        return df.withColumn("flag_multivariate_outlier", F.col("_outlier") > self.cutoff).drop("_outlier")
+        return self.flag(self.totals(with_balance_delta(df), "_total"), "_total")
 
 
 def detect_multivariate_outliers(df, sample_size=200_000, random_state=42):
-    return IsolationForest(fit_rows=sample_size, seed=random_state).fit(df).transform(df)
+    """Each row is scored once: its total is staged with it, and the threshold comes from that column."""
+    model = IsolationForest(fit_rows=sample_size, seed=random_state).grow(df)
+    return flag_outliers(model, df)
+
+
+def flag_outliers(model, df):
+    """Score ``df`` into a staged table, take the threshold from it, and flag its rows."""
+    scored = staged(model.totals(with_balance_delta(df), "_total"), "scored")
+    return model.choose(scored, "_total").flag(scored, "_total")

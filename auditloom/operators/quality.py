@@ -1,37 +1,30 @@
 """Data-quality report of raw transactions."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from auditloom.functions.columns import half_even
 
 
-def _exact_counts(df, column):
-    """Rows, missing and distinct values of one column; the scan reads that column only."""
-    value = F.col(column)
-    return df.groupBy(value).agg(F.count("*").alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
-        F.count(value).alias("n_unique"))
-
-
-def _approximate_counts(df, column):
-    return df.agg(
-        F.count("*").alias("rows"), F.count_if(F.col(column).isNull()).alias("n_missing"),
-        F.approx_count_distinct(column).alias("n_unique"))
-
-
 def column_profile(df, columns=None, approximate=False):
-    """One row per column: type, missing values, their percentage, distinct values."""
-    counts = _approximate_counts if approximate else _exact_counts
+    """One row per column: type, missing values, their percentage, distinct values.
+
+    All columns come from one scan. The exact form expands each row once per column, reduces equal values
+    in the tasks and shuffles the distinct ones of all columns together; the approximate form merges
+    one sketch per column and shuffles a row per task.
+    """
+    columns = columns or [c for c in df.columns if c != "row_id"]
     types = dict(df.dtypes)
-    lines = [
-        counts(df, c).select(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), "*")
-        for c in columns or [c for c in df.columns if c != "row_id"]]
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    counts = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(F.col(f"`{c}`")).alias(f"present_{i}") for i, c in enumerate(columns)],
+        *[distinct(F.col(f"`{c}`")).alias(f"unique_{i}") for i, c in enumerate(columns)])
+    lines = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
+                 (F.col("rows") - F.col(f"present_{i}")).alias("n_missing"), F.col(f"unique_{i}").alias("n_unique"))
+        for i, c in enumerate(columns)])
     pct = half_even(100.0 * F.try_divide(F.col("n_missing"), F.col("rows")), 3)
-    return reduce(lambda a, b: a.unionByName(b), lines).select(
-        "column", "dtype", "n_missing", pct.alias("pct_missing"), "n_unique")
+    return counts.select("rows", F.inline(lines)).select("column", "dtype", "n_missing", pct.alias("pct_missing"), "n_unique")
 
 
 def dq_checks(df):

@@ -146,6 +146,12 @@ def stratified_sample(ws):
     return rows.select("row_id", "isFraud", "amount", "nameOrig")
 
 
+@query
+def sample_shuffled(ws):
+    rows = sampling.stratified_sample(ws.transactions(), SAMPLE_NORMAL, chunk_rows=SAMPLE_CHUNK)
+    return sampling.shuffled(rows.select("row_id", "isFraud", "amount"))
+
+
 @query
 def sample_summary(ws):
     return sampling.sample_summary(
@@ -500,7 +506,7 @@ def measures_by_risk_tier(ws):
     return _rounded(measures.measures(measures.with_vendor_tier(ws.tables()), ["vendor_risk_tier"]))
 
 
-# --- the same with the forest's signal, which the SQL texts cannot state
+# --- the same with the forest's signal
 
 @query
 def suspicious_transactions_with_forest(ws):

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from auditloom.operators.clean import RAW_RULES, impute_median, prepare
-from auditloom.operators.forest import IsolationForest, with_balance_delta
+from auditloom.operators.forest import IsolationForest, flag_outliers, with_balance_delta
 from auditloom.operators.neighbours import Rank, apply_rules
 from auditloom.operators.ordering import running_start
 from auditloom.operators.quality import column_profile
@@ -35,7 +35,8 @@ def detect(prepared, rules, fill=False, multivariate=True, use_label=True, **ske
     profile is too large to broadcast. The final order (user, step, destination, amount,
     row_id) starts with the user, so a row's number is its rank in the user plus the rows
     of earlier users: no further sort. ``multivariate`` is a forest, True for the default
-    one, or False for none; ``fill`` asks to fill missing balances first.
+    one, or False for none; with one, the result is a staged table and columns made from it row by row.
+    ``fill`` asks to fill missing balances first.
     """
     forest = IsolationForest() if multivariate is True else multivariate
     spark = prepared.sparkSession
@@ -57,9 +58,9 @@ def detect(prepared, rules, fill=False, multivariate=True, use_label=True, **ske
         out = detect_large_transactions(out, cutoffs=cutoffs, **skew)
         return detect_vendor_signals(out, vendors, **skew)
 
-    out, model = concurrently(spark, signalled, lambda: forest.fit(rows) if forest else None)
+    out, model = concurrently(spark, signalled, lambda: forest.grow(rows) if forest else None)
     if model:
-        out = model.transform(out)
+        out = flag_outliers(model, out)
     else:
         out = with_balance_delta(out).withColumn("flag_multivariate_outlier", F.lit(False))
     return score(out, use_label)
@@ -106,7 +107,7 @@ def run_full_pipeline(
     profile, flagged = concurrently(
         spark,
         lambda: staged(column_profile(raw), "profile"),
-        lambda: staged(flag_raw(raw, multivariate, **skew), "flagged"))
+        lambda: flag_raw(raw, multivariate, **skew) if multivariate else staged(flag_raw(raw, False, **skew), "flagged"))
     tables = build_tables(flagged, profile)
     outputs = {
         "clean_transactions": flagged.select(*CLEAN_COLUMNS),

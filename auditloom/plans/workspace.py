@@ -43,7 +43,7 @@ class Workspace:
             flag_raw(self.transactions(), multivariate=False), "flagged"))
 
     def flagged_with_forest(self):
-        return self._stage("forest", lambda: staged(flag_raw(self.transactions()), "flagged"))
+        return self._stage("forest", lambda: flag_raw(self.transactions()))
 
     def tables(self):
         """The star schema over ``flagged``."""

@@ -147,6 +147,76 @@ flagged AS (
     FROM scored)
 """
 
+_PRIME = 2147483647
+
+
+def _mixed(name, number, other):
+    """Select items that end in ``name``, the forest's hash of two whole numbers with seed 42."""
+    return f"""({number} * 48271 + {other} * 69621 + 42 * 40692 + 1) % {_PRIME} AS {name}_0, {name}_0 * {name}_0 % {_PRIME} AS {name}_1,
+           ({name}_1 * {name}_1 % {_PRIME} * {name}_0 % {_PRIME} * 16807 + 12345) % {_PRIME} AS {name}_2,
+           {name}_2 * {name}_2 % {_PRIME} AS {name}_3,
+           ({name}_3 * {name}_3 % {_PRIME} * {name}_2 % {_PRIME} * 16807 + 54321) % {_PRIME} AS {name}"""
+
+
+_PICKED = "CASE feature WHEN 0 THEN f0 WHEN 1 THEN f1 WHEN 2 THEN f2 ELSE f3 END"
+
+# The isolation forest: trees are relations of splits and leaves, and rows walk down them.
+_FOREST = f""",
+points AS MATERIALIZED (
+    SELECT row_id, CAST(coalesce(amount, 0) AS DOUBLE) AS f0, CAST(hour_of_day AS DOUBLE) AS f1, CAST(step AS DOUBLE) AS f2,
+           CAST(coalesce(balance_delta_orig, 0) AS DOUBLE) AS f3
+    FROM signals),
+sampled AS MATERIALIZED (
+    SELECT row_id, f0, f1, f2, f3 FROM (SELECT *, {_mixed("h", f"(row_id % {_PRIME})", "-1")} FROM points)
+    WHERE h / CAST({_PRIME} AS DOUBLE) < 200000 / CAST((SELECT count(*) FROM points) AS DOUBLE)),
+drawn AS MATERIALIZED (
+    SELECT tree, f0, f1, f2, f3
+    FROM (SELECT *, {_mixed("h", f"(row_id % {_PRIME})", "tree")} FROM sampled, range(100) AS t(tree))
+    WHERE h < floor(least(CAST(1 AS DOUBLE), 512 / CAST((SELECT count(*) FROM sampled) AS DOUBLE)) * {_PRIME})
+    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY h, row_id) <= 256),
+grown AS (
+    SELECT 0 AS level, tree, CAST(0 AS BIGINT) AS slot, f0, f1, f2, f3, CAST(NULL AS BIGINT) AS feature,
+           CAST(NULL AS DOUBLE) AS cut FROM drawn
+    UNION ALL
+    SELECT level + 1, tree, 2 * slot + 1 + CAST({_PICKED} >= cut AS BIGINT), f0, f1, f2, f3, feature, cut
+    FROM (SELECT *, usable[CAST(1 + which * len(usable) // {_PRIME} AS BIGINT)] AS feature,
+                 low[feature + 1] + place / CAST({_PRIME} AS DOUBLE) * (high[feature + 1] - low[feature + 1]) AS cut
+          FROM (SELECT level, tree, slot, f0, f1, f2, f3, n, low, high,
+                       list_filter([CASE WHEN high[1] > low[1] THEN 0 END, CASE WHEN high[2] > low[2] THEN 1 END,
+                                    CASE WHEN high[3] > low[3] THEN 2 END, CASE WHEN high[4] > low[4] THEN 3 END],
+                                   lambda x: x IS NOT NULL) AS usable,
+                       {_mixed("which", "slot", "(2 * tree)")}, {_mixed("place", "slot", "(2 * tree + 1)")}
+                FROM (SELECT level, tree, slot, f0, f1, f2, f3, count(*) OVER node AS n,
+                             [min(f0) OVER node, min(f1) OVER node, min(f2) OVER node, min(f3) OVER node] AS low,
+                             [max(f0) OVER node, max(f1) OVER node, max(f2) OVER node, max(f3) OVER node] AS high
+                      FROM grown WINDOW node AS (PARTITION BY tree, slot)))
+          WHERE n > 1 AND len(usable) > 0
+              AND level < ceil(log2(least(256, (SELECT count(*) FROM sampled)))))),
+splits AS MATERIALIZED (SELECT DISTINCT tree, (slot - 1) // 2 AS slot, feature, cut FROM grown WHERE level > 0),
+leaves AS MATERIALIZED (
+    SELECT tree, slot, count(*) AS n FROM grown ANTI JOIN splits USING (tree, slot) GROUP BY ALL),
+walk AS (
+    SELECT row_id, tree, CAST(0 AS BIGINT) AS slot, 0 AS level, f0, f1, f2, f3 FROM points, range(100) AS t(tree)
+    UNION ALL
+    SELECT row_id, w.tree, 2 * w.slot + 1 + CAST({_PICKED} >= cut AS BIGINT), level + 1, f0, f1, f2, f3
+    FROM walk w JOIN splits s ON w.tree = s.tree AND w.slot = s.slot),
+path_totals AS MATERIALIZED (
+    SELECT row_id, CAST(sum(level * 1000000 + CASE WHEN coalesce(n, 0) <= 1 THEN 0 WHEN n = 2 THEN 1000000 ELSE
+               CAST(round((2e0 * (ln(n - 1) + 0.5772156649015329e0) - 2e0 * (n - 1) / n) * 1000000) AS BIGINT) END) AS BIGINT) AS total
+    FROM (SELECT * FROM walk ANTI JOIN splits USING (tree, slot)) LEFT JOIN leaves USING (tree, slot) GROUP BY row_id),
+outliers AS MATERIALIZED (
+    SELECT row_id FROM path_totals WHERE total < (
+        SELECT total FROM (SELECT total, row_number() OVER (ORDER BY total DESC) - 1 AS place, count(*) OVER () AS n FROM path_totals)
+        WHERE place = floor((1e0 - 0.015e0) * (n - 1)))),
+outlying AS (
+    SELECT * REPLACE (row_id IN (SELECT row_id FROM outliers) AS flag_multivariate_outlier) FROM signals)
+"""
+
+FLAGGED_ALL = SIGNAL + _FOREST + FLAGGED[len(SIGNAL):].replace("FROM signals)", "FROM outlying)").replace(
+    "+ 10 * CAST(flag_unusual_timing", "+ 15 * CAST(flag_multivariate_outlier AS INTEGER) + 10 * CAST(flag_unusual_timing").replace(
+    "CASE WHEN flag_unusual_timing",
+    "CASE WHEN flag_multivariate_outlier THEN 'Multivariate Outlier' END,\n               CASE WHEN flag_unusual_timing")
+
 FLAGGED_LIST = """row_id, step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig, nameDest, oldbalanceDest,
     newbalanceDest, isFraud, isFlaggedFraud, is_missing_amount, is_missing_orig_balance, timestamp, hour_of_day,
     day_of_week, is_weekend, is_night, vendor_id, category, is_merchant_dest, is_exact_duplicate, is_near_duplicate"""
@@ -210,6 +280,8 @@ v_suspicious AS (
     FROM fact f LEFT JOIN dim_vendor v ON f.vendor_id = v.vendor_id WHERE f.is_flagged)
 """
 
+STAR_ALL = FLAGGED_ALL + STAR[len(FLAGGED):]
+
 _FLAG = "count(*) FILTER (is_flagged)"
 _FLAG_VALUE = "CAST(coalesce(sum(m) FILTER (is_flagged), 0) AS DOUBLE)"
 _PCT = f"round(100.0 * {_FLAG} / count(*), 2)"
@@ -351,7 +423,7 @@ def _texts():
     out = {}
 
     def add(name, ctes, body):
-        out[name] = f"WITH {ctes.strip()} {body}"
+        out[name] = f"WITH RECURSIVE {ctes.strip()} {body}" if _FOREST in ctes else f"WITH {ctes.strip()} {body}"
 
     raw_list = """row_id, step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig, nameDest, oldbalanceDest,
         newbalanceDest, isFraud, isFlaggedFraud"""
@@ -399,6 +471,10 @@ judged AS (
     add("staging_cast", RAW, "SELECT " + ", ".join(
         cast.get(c.strip(), c.strip()) for c in raw_list.split(",")) + " FROM txn")
     add("stratified_sample", _SAMPLE, "SELECT * FROM sample")
+    add("sample_shuffled", _SAMPLE, """
+        SELECT row_id, isFraud, amount, row_number() OVER (
+                   ORDER BY md5('shuffle-' || CAST(row_id AS VARCHAR) || '-42'), row_id) - 1 AS position
+        FROM sample""")
     add("sample_summary", _SAMPLE, """
         SELECT count(*) AS total_records, count(*) FILTER (isFraud = 1) AS fraud_records,
                count(*) FILTER (isFraud = 0) AS normal_records FROM sample""")
@@ -458,12 +534,16 @@ judged AS (
     out["robust_scale"] = "WITH " + _scaled().strip()
     for name in ("anomaly_score", "flag_reasons", "is_flagged", "risk_level"):
         add(name, FLAGGED, f"SELECT row_id, {name} FROM flagged")
-    add("anomaly_pipeline_rules", FLAGGED,
-        f"SELECT {FLAGGED_LIST}, {SIGNAL_LIST}, flag_reasons, is_flagged, risk_level FROM flagged")
-    add("pipeline_summary", FLAGGED, f"""
+    every_column = f"SELECT {FLAGGED_LIST}, {SIGNAL_LIST}, flag_reasons, is_flagged, risk_level FROM flagged"
+    add("anomaly_pipeline_rules", FLAGGED, every_column)
+    add("anomaly_pipeline", FLAGGED_ALL, every_column)
+    add("flag_multivariate_outlier", FLAGGED_ALL, "SELECT row_id, flag_multivariate_outlier FROM flagged")
+    summary = f"""
         SELECT count(*) AS total_transactions, {_FLAG} AS flagged_transactions,
                100.0 * {_FLAG} / count(*) AS flagged_pct,
-               count(*) FILTER (risk_level IN ('HIGH', 'CRITICAL')) AS high_critical_transactions FROM flagged""")
+               count(*) FILTER (risk_level IN ('HIGH', 'CRITICAL')) AS high_critical_transactions FROM flagged"""
+    add("pipeline_summary", FLAGGED, summary)
+    add("pipeline_summary_with_forest", FLAGGED_ALL, summary)
 
     add("dim_category", STAR, "SELECT * FROM dim_category")
     add("dim_vendor", STAR,
@@ -481,7 +561,8 @@ judged AS (
         FROM fact LEFT JOIN dim_date USING (date_key) LEFT JOIN dim_category ON category = category_id
              LEFT JOIN dim_vendor USING (vendor_id)""")
 
-    add("suspicious_transactions", STAR, "SELECT * FROM v_suspicious ORDER BY anomaly_score DESC, transaction_id")
+    for name, ctes in (("suspicious_transactions", STAR), ("suspicious_transactions_with_forest", STAR_ALL)):
+        add(name, ctes, "SELECT * FROM v_suspicious ORDER BY anomaly_score DESC, transaction_id")
     vendor_risk = """
         SELECT vendor_id, vendor_name, vendor_risk_tier, total_transactions, total_volume,
                avg_transaction_amount AS avg_transaction_size, flagged_count AS flagged_transaction_count,
@@ -554,13 +635,15 @@ judged AS (
         SELECT 'Vendor Risk Profile: ' || CASE WHEN count(DISTINCT vendor_risk_tier) = 1 THEN max(vendor_risk_tier)
                    ELSE 'Multiple Vendors' END AS vendor_risk_status FROM dim_vendor""")
     add("kpi_cards", STAR, _measures())
+    add("kpi_cards_with_forest", STAR_ALL, _measures())
     add("measures_by_category", STAR, _measures("category"))
     add("measures_by_risk_level", STAR, _measures("risk_level"))
     add("measures_by_risk_tier", STAR, _measures(
         "vendor_risk_tier", "money JOIN (SELECT vendor_id, vendor_risk_tier FROM dim_vendor) USING (vendor_id)"))
 
-    add("signal_breakdown", STAR, " UNION ALL ".join(
-        f"SELECT '{c}' AS signal, count(*) FILTER ({c}) AS incidents FROM fact" for c in SIGNALS))
+    for name, ctes in (("signal_breakdown", STAR), ("signal_breakdown_with_forest", STAR_ALL)):
+        add(name, ctes, " UNION ALL ".join(
+            f"SELECT '{c}' AS signal, count(*) FILTER ({c}) AS incidents FROM fact" for c in SIGNALS))
     out["score_histogram"] = f"WITH {STAR.strip()}, " + _bins("fact", "anomaly_score", 30, "risk_level").strip()
     out["hhi_histogram"] = f"WITH {SIGNAL.strip()}, " + _bins("hhi", "hhi", 20, name="users").strip()
 

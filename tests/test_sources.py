@@ -6,7 +6,7 @@ from auditloom.operators.quality import audit_summary, column_profile
 from auditloom.plans.pipeline import run_full_pipeline
 from auditloom.plans.views import register_views, risk_color, slice_fact
 from auditloom.schema import RAW_COLUMNS
-from auditloom.sources.sampling import sample_summary, stratified_sample
+from auditloom.sources.sampling import number_by_id, sample_summary, shuffled, stratified_sample
 from auditloom.sources.sinks import write_table
 from auditloom.sources.synthetic import generate_transactions
 from auditloom.sources.transactions import UnreadableValues, load, load_all, staging
@@ -64,6 +64,28 @@ def test_sample_does_not_depend_on_splits(spark):
     assert sample(1) == sample(4) == sample(10) and len(sample(1)) == 200 + 160
 
 
+@pytest.mark.parametrize("step", [1, 3, 100_000])
+def test_numbers_by_id_have_no_gaps(spark, step):
+    ids = [i * step + (1 << 33) * (i % 3) for i in range(3_000)] + [-5, -70_000]
+    rows = spark.createDataFrame([(i,) for i in ids], "row_id bigint").repartition(5)
+    found = {r.row_id: r["_number"] for r in number_by_id(rows).collect()}
+    assert [found[i] for i in sorted(ids)] == list(range(len(ids)))
+
+
+def test_dense_ids_are_numbered_without_a_shuffle_of_rows(spark, tmp_path):
+    spark.range(300_000).select(F.col("id").alias("row_id")).write.parquet(f"{tmp_path}/ids")
+    found = number_by_id(spark.read.parquet(f"{tmp_path}/ids"))
+    assert found.where("_number <> row_id").isEmpty() and found.count() == 300_000
+    plan = found._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan
+
+
+def test_shuffled_order_is_one_order(spark):
+    rows = random_raw(spark, 4, 200)
+    orders = [[r.row_id for r in shuffled(rows.repartition(n)).orderBy("position").collect()] for n in (1, 6)]
+    assert orders[0] == orders[1] != sorted(orders[0]) and sorted(orders[0]) == list(range(200))
+
+
 def test_cap_of_the_sample(spark):
     raw = spark.range(20_000).select(
         F.col("id").alias("row_id"), F.when(F.col("id") % 100 == 0, 1).otherwise(0).alias("isFraud"))
