@@ -1,5 +1,7 @@
 """Star schema: one fact table, three dimensions, one audit table."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from auditloom.functions.columns import half_even, money_sum, tiered, title, zero_padded
@@ -7,7 +9,7 @@ from auditloom.operators.quality import audit_summary
 from auditloom.operators.skew import lookup
 from auditloom.schema import (
     CATEGORY_INFO, FACT_RENAMES, FLAGGED_COLUMNS, MERCHANT_BRANDS, SIGNALS, VENDOR_TIERS)
-from auditloom.storage import concurrently, staged
+from auditloom.storage import concurrently, remove, staged
 
 
 def date_key(time):
@@ -111,16 +113,60 @@ def build_tables(flagged, profile=None):
     }
 
 
+def _location(spark, table):
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _rename(spark, old, new):
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+
 def save_tables(tables, database, location):
-    """Replace the warehouse tables; the fact is split by day into evenly sized files."""
+    """Replace the warehouse tables together; the fact is split by day into evenly sized files.
+
+    All tables are written beside the old ones first, under names and folders of a new version; then names
+    are exchanged, which moves no data. If a write or an exchange fails, the old tables are as they
+    were and the new version is removed. The old version's files go last.
+    """
     spark = tables["fact_transactions"].sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
-    for name, table in tables.items():
-        writer = table.hint("rebalance", "date_key") if name == "fact_transactions" else table
-        writer = writer.write.mode("overwrite").format("parquet")
-        if name == "fact_transactions":
-            writer = writer.partitionBy("date_key")
-        writer.saveAsTable(f"`{database}`.`{name}`")
+    version = uuid.uuid4().hex[:8]
+    name_of = lambda name, suffix="": f"`{database}`.`{name}{suffix}`"
+    folder = f"{location}/versions/{version}"
+    exchanged = []
+    try:
+        for name, table in tables.items():
+            writer = table.hint("rebalance", "date_key") if name == "fact_transactions" else table
+            writer = writer.write.format("parquet").option("path", f"{folder}/{name}")
+            if name == "fact_transactions":
+                writer = writer.partitionBy("date_key")
+            writer.saveAsTable(name_of(name, f"__new_{version}"))
+        for name in tables:
+            held = spark.catalog.tableExists(name_of(name))
+            if held:
+                _rename(spark, name_of(name), name_of(name, f"__old_{version}"))
+            exchanged.append((name, held))
+            _rename(spark, name_of(name, f"__new_{version}"), name_of(name))
+    except Exception:
+        for name, held in reversed(exchanged):
+            if held:
+                if spark.catalog.tableExists(name_of(name)):
+                    _rename(spark, name_of(name), name_of(name, f"__new_{version}"))
+                _rename(spark, name_of(name, f"__old_{version}"), name_of(name))
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS {name_of(name)}")
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name_of(name, f'__new_{version}')}")
+        remove(spark, folder)
+        raise
+    for name, held in exchanged:
+        if held:
+            retired = name_of(name, f"__old_{version}")
+            path = _location(spark, retired)
+            spark.sql(f"DROP TABLE {retired}")
+            if path and "/versions/" in path:
+                remove(spark, path)
 
 
 def star_join(tables, **skew):

@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 from auditloom.operators.clean import clean, normalize_category
 from auditloom.operators.quality import audit_summary, column_profile
+from auditloom.plans import warehouse
 from auditloom.plans.pipeline import run_full_pipeline
 from auditloom.plans.views import register_views, risk_color, slice_fact
+from auditloom.plans.warehouse import save_tables
 from auditloom.schema import RAW_COLUMNS
 from auditloom.sources.sampling import number_by_id, sample_summary, shuffled, stratified_sample
 from auditloom.sources.sinks import write_table
@@ -134,6 +136,35 @@ def test_full_pipeline_from_csv(spark, tmp_path):
     assert spark.sql("SELECT SUM(total_txns) FROM v_daily_audit_trend").first()[0] == summary.total_transactions
 
 
+def test_a_failed_replacement_leaves_the_old_warehouse(spark, ws, tmp_path, monkeypatch):
+    tables, place = ws.tables(), str(tmp_path / "house")
+    count = lambda name: spark.table(f"house.{name}").count()
+    names = lambda: {t.name for t in spark.catalog.listTables("house") if not t.isTemporary}
+    save_tables(tables, "house", place)
+    assert names() == set(tables) and count("fact_transactions") == 1047
+    few = {n: t.limit(5) for n, t in tables.items()}
+    broken = few | {"dim_category": few["dim_category"].withColumn("category_id", F.raise_error(F.lit("lost")))}
+    with pytest.raises(Exception, match="lost"):
+        save_tables(broken, "house", place)
+    assert names() == set(tables) and count("fact_transactions") == 1047
+    assert count("dim_date") == tables["dim_date"].count() and len(list((tmp_path / "house" / "versions").iterdir())) == 1
+    exchange, done = warehouse._rename, []
+
+    def fails_late(*names):
+        done.append(names)
+        if len(done) == 6:
+            raise RuntimeError("catalog lost")
+        exchange(*names)
+
+    monkeypatch.setattr(warehouse, "_rename", fails_late)
+    with pytest.raises(RuntimeError):
+        save_tables(few, "house", place)
+    assert names() == set(tables) and count("fact_transactions") == 1047 and count("dim_vendor") > 5
+    save_tables(few, "house", place)
+    assert names() == set(tables) and all(count(n) <= 5 for n in tables)
+    spark.sql("DROP DATABASE house CASCADE")
+
+
 def test_audit_summary(spark, ws):
     profile = column_profile(five_rows(spark))
     assert audit_summary(profile, ws.flagged()).count() == 11
