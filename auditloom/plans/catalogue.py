@@ -10,7 +10,7 @@ from auditloom.operators.skew import lookup
 from auditloom.operators.scoring import score
 from auditloom.plans import evaluation, measures, views
 from auditloom.plans.pipeline import pipeline_summary
-from auditloom.plans.warehouse import save_tables, star_join
+from auditloom.plans.warehouse import save_tables, saved_tables, star_join
 from auditloom.plans.workspace import workspace
 from auditloom.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS, RAW_COLUMNS
 from auditloom.sources import sampling, synthetic
@@ -476,6 +476,16 @@ def slicer_filters(ws):
     return rows.select("transaction_id", "amount", "category", "risk_level", "hour_of_day")
 
 
+@query
+def saved_weekend_days(ws):
+    """Weekend rows of two weeks, from the saved warehouse, whose other days' files are not read."""
+    database = "auditloom_slices"
+    save_tables(ws.tables(), database, new_path(ws.spark, "warehouse"))
+    rows = views.slice_fact(saved_tables(ws.spark, database), dates=("2024-01-08", "2024-01-21"), weekend=True)
+    return rows.groupBy("date_key").agg(
+        F.count("*").alias("transactions"), F.count_if("is_flagged").alias("flagged"))
+
+
 @query
 def risk_color(ws):
     return ws.fact().select("transaction_id", views.risk_color().alias("risk_color"))

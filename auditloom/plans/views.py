@@ -199,8 +199,16 @@ def vendor_risk_status(vendors):
 
 def slice_fact(tables, dates=None, categories=None, risk_levels=None, vendor_tiers=None,
                vendor_search=None, hours=None, weekend=None):
-    """The fact rows left by the dashboard slicers; a slicer that is None selects all."""
+    """The fact rows left by the dashboard slicers; a slicer that is None selects all.
+
+    Date keys ascend with the days, so a range of dates is a range of keys, which a saved fact's
+    partitions are chosen by before the job; what is left of the days after the weekend slicer, a row per
+    calendar day, is broadcast and prunes partitions as it runs.
+    """
     fact = tables["fact_transactions"]
+    if dates is not None:
+        first, last = [int(str(d)[:10].replace("-", "")) for d in dates]
+        fact = fact.where(F.col("date_key").between(first, last))
     if risk_levels is not None:
         fact = fact.where(F.col("risk_level").isin(*risk_levels))
     if hours is not None:
@@ -210,8 +218,9 @@ def slice_fact(tables, dates=None, categories=None, risk_levels=None, vendor_tie
         if dates is not None:
             days = days.where(F.col("full_date").between(*[F.lit(d).cast("date") for d in dates]))
         if weekend is not None:
-            days = days.where(F.col("is_weekend") == weekend)
-        fact = fact.join(days.select("date_key"), "date_key", "left_semi")
+            # a comparison, as only such filters make Spark prune partitions; Saturday and Sunday are 5 and 6
+            days = days.where(F.col("day_of_week") >= 5 if weekend else F.col("day_of_week") < 5)
+        fact = fact.join(F.broadcast(days.select("date_key")), "date_key", "left_semi")
     if categories is not None:
         names = tables["dim_category"].where(F.col("category_name").isin(*categories))
         fact = fact.join(names.select(F.col("category_id").alias("category")), "category", "left_semi")

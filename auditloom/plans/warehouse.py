@@ -169,6 +169,12 @@ def save_tables(tables, database, location):
                 remove(spark, path)
 
 
+def saved_tables(spark, database):
+    """The saved warehouse's tables by name, as ``save_tables`` takes and the reports read them."""
+    names = ["fact_transactions", "dim_vendor", "dim_category", "dim_date", "data_quality_summary"]
+    return {name: spark.table(f"`{database}`.`{name}`") for name in names}
+
+
 def star_join(tables, **skew):
     """Fact rows with the attributes of all three dimensions."""
     fact = tables["fact_transactions"]

@@ -630,6 +630,9 @@ judged AS (
           AND risk_level IN ('HIGH', 'CRITICAL', 'MEDIUM')
           AND vendor_risk_tier IN ('MEDIUM_RISK', 'HIGH_RISK', 'STANDARD') AND lower(vendor_name) LIKE '%a%'
           AND hour_of_day BETWEEN 0 AND 20 AND NOT d.is_weekend""")
+    add("saved_weekend_days", STAR, f"""
+        SELECT date_key, count(*) AS transactions, {_FLAG} AS flagged FROM fact JOIN dim_date d USING (date_key)
+        WHERE full_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' AND d.is_weekend GROUP BY date_key""")
     add("risk_color", STAR, f"SELECT transaction_id, {_color()} AS risk_color FROM fact")
     add("vendor_risk_status", STAR, """
         SELECT 'Vendor Risk Profile: ' || CASE WHEN count(DISTINCT vendor_risk_tier) = 1 THEN max(vendor_risk_tier)

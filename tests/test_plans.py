@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from auditloom.operators.skew import lookup
 from auditloom.plans import views
 from auditloom.plans.pipeline import flag_raw
+from auditloom.plans.views import slice_fact
+from auditloom.plans.warehouse import save_tables, saved_tables
 from auditloom.storage import staged
 
 
@@ -62,3 +64,14 @@ def test_large_lookup_shuffles_once_by_key_and_spread(spark):
     assert re.search(r"SortMergeJoin \[k#\d+, _spread#\d+L\], \[k#\d+, _spread#\d+L\], LeftOuter", text)
     assert len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", text)) == 2   # the rows once, and the table
     assert max(sizes) < 3 * 20_000 / 64
+
+
+def test_slicers_prune_the_days_of_a_saved_fact(spark, ws, tmp_path):
+    save_tables(ws.tables(), "slices", str(tmp_path / "slices"))
+    tables = saved_tables(spark, "slices")
+    by_range = plan(slice_fact(tables, dates=("2024-01-08", "2024-01-09")))
+    assert re.search(r"PartitionFilters: \[[^\]]*date_key#\d+ >= 20240108", by_range)
+    by_weekend = slice_fact(tables, weekend=True)
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan(by_weekend))
+    assert by_weekend.count() == slice_fact(ws.tables(), weekend=True).count()
+    spark.sql("DROP DATABASE slices CASCADE")
