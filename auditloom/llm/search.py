@@ -37,7 +37,7 @@ _SPLIT = bytes.maketrans(_SEPARATORS, b" " * len(_SEPARATORS))
 
 FORWARD = "doc_id bigint, n bigint, terms array<int>, tfs array<int>"
 _ARRAYS = ("ends", "terms", "impacts", "block_term", "block_ends", "block_docs", "summary_ends", "summary_terms", "summary_max")
-SHARD = "doc_ids array<bigint>, " + ", ".join(f"{a} binary" for a in _ARRAYS) + ", lead boolean"
+SHARD = "doc_ids array<bigint>, sizes array<bigint>, data binary, lead boolean"     # data: all arrays, compressed
 FOUND = "item bigint, doc_id bigint, score bigint"
 
 
@@ -135,9 +135,10 @@ def build_shard(ids, sizes, columns, impacts, projection, block_docs=BLOCK_DOCS)
     heads, most = _summaries(order, block, columns, impacts, ends[rows[order] + 1].astype(np.int64), block_ends)
     summary = np.bincount(heads[0], minlength=len(first))
     arrays = [ends, columns, impacts, columns[order[first]], block_ends, rows[order], _offsets(summary), heads[1], most]
+    data = pa.compress(b"".join([a.astype("<i4").tobytes() for a in arrays]), codec="zstd", asbytes=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([ids], pa.list_(pa.int64())), *[pa.array([a.astype("<i4").tobytes()], pa.binary()) for a in arrays]],
-        ["doc_ids", *_ARRAYS])
+        [pa.array([ids], pa.list_(pa.int64())), pa.array([[len(a) for a in arrays]], pa.list_(pa.int64())),
+         pa.array([data], pa.binary())], ["doc_ids", "sizes", "data"])
 
 
 class Index:
@@ -207,8 +208,8 @@ def build_index(docs, vocabulary, path=None, shard_docs=SHARD_DOCS, shard_entrie
 
     let_workers_import(docs.sparkSession)
     # a shard is a row of some megabytes, so row groups are checked and kept small
-    (rows.where(F.size("terms") > 0).mapInArrow(shards, SHARD).write.option("compression", "zstd")
-        .option("parquet.block.size", 32 << 20).option("parquet.block.size.row.check.min", 1)
+    (rows.where(F.size("terms") > 0).mapInArrow(shards, SHARD).write.option("compression", "none")
+        .option("parquet.block.size", 16 << 20).option("parquet.block.size.row.check.min", 1)
         .option("parquet.page.size.row.check.min", 1).parquet(path))
     return Index(path, dict(zip(vocabulary, places.tolist())), weights[order])
 
@@ -234,8 +235,9 @@ class _Query:
 class _Shard:
     def __init__(self, row):
         self.ids = row["doc_ids"]
-        for name in _ARRAYS:
-            setattr(self, name, np.frombuffer(row[name], "<i4"))
+        data = np.frombuffer(pa.decompress(row["data"], 4 * sum(row["sizes"]), codec="zstd"), "<i4")
+        for name, part in zip(_ARRAYS, np.split(data, np.cumsum(row["sizes"])[:-1])):
+            setattr(self, name, part)
         self.scored = self.visited = self.skipped = 0
         self.most = {}
         columns = np.argsort(self.terms, kind="stable")
@@ -283,7 +285,7 @@ def find(shards, queries, weights, k, floors=None):
         dense = np.zeros(len(weights), np.int64)
         for batch in stream:
             for i in range(batch.num_rows):
-                shard = _Shard({c: batch.column(c)[i].as_py() for c in ("doc_ids", *_ARRAYS)})
+                shard = _Shard({c: batch.column(c)[i].as_py() for c in ("doc_ids", "sizes", "data")})
                 for query in asked:
                     shard.search(query, dense)
         found = [(q.item, None if missing else i, -score) for q in asked for score, missing, i in q.best]
