@@ -24,7 +24,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 BITS = 64
 HALF = BITS // 2
-STRIDE = 4                # bits a frontier descends at once
+STRIDE = 8                # bits a frontier descends at once
 CHUNK = 200_000           # shingles whose bits are unpacked at once
 
 
