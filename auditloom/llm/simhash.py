@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from auditloom.llm.common import map_arrow, small_batches, utf8
 from auditloom.llm.components import connected_components
-from auditloom.storage import staged
+from auditloom.storage import concurrently, staged
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -104,7 +104,7 @@ def _walk(keys, upper, budget):
             return reduce(lambda one, other: one.unionByName(other), found)
         to = min(depth + STRIDE, HALF if depth < HALF else BITS)
         # only keys below a node of the frontier are looked at again
-        wanted = staged(frontier.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted")
+        wanted = frontier.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
         left = _nodes(keys.join(wanted, _prefix("key", depth) == F.col("wanted"), "left_semi"), depth, to)
         right = left.select(F.col("a").alias("b"), F.col("x").alias("y"), F.col("ax").alias("by"))
         fresh = F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit((1 << (to - depth)) - 1))
@@ -123,13 +123,16 @@ def links(keys, max_bits=MAX_BITS):
     a, b = F.col("a"), F.col("b")
     upper = F.bit_count(F.shiftrightunsigned(a.bitwiseXOR(b), HALF))
     within = F.bit_count(a.bitwiseXOR(b)) <= max_bits
-    straight = _walk(keys, max_bits // 2, max_bits).where(within & (upper <= max_bits // 2))
     if max_bits == 0:
-        return straight
+        return _walk(keys, 0, 0).where(within)
     turned = keys.select(F.shiftleft("key", HALF).bitwiseOR(F.shiftrightunsigned("key", HALF)).alias("key"))
     lower = F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit((1 << HALF) - 1)))   # the upper half, turned
-    other = _walk(turned, (max_bits - 1) // 2, max_bits).where(
-        within & (upper <= (max_bits - 1) // 2) & (lower > max_bits // 2))
+    # both walks have many small steps, so they go side by side
+    straight, other = concurrently(
+        keys.sparkSession, lambda: _walk(keys, max_bits // 2, max_bits),
+        lambda: _walk(turned, (max_bits - 1) // 2, max_bits))
+    straight = straight.where(within & (upper <= max_bits // 2))
+    other = other.where(within & (upper <= (max_bits - 1) // 2) & (lower > max_bits // 2))
     back = [F.shiftleft(c, HALF).bitwiseOR(F.shiftrightunsigned(c, HALF)).alias(c) for c in ("a", "b")]
     return straight.unionByName(other.select(*back))
 
