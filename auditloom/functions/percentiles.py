@@ -111,9 +111,15 @@ def exact_percentiles(df, value, points, by, max_values=None, missing_keys=False
     present = F.col(value).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
-    cells = staged(
+    return counted_percentiles(
         df.where(present).groupBy(*by, F.col(value).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n")), "values")
+        .agg(F.count("*").alias("_n")), points, by, limit)
+
+
+def counted_percentiles(cells, points, by, max_values=None):
+    """The same from values counted before: rows of (``by``, ``_value``, ``_n``), none of them missing or twice."""
+    limit = MAX_VALUES if max_values is None else max_values
+    cells = staged(cells, "values")
     if cells.count() > limit:
         return _from_buckets(cells, by, points, limit)
     found = F.percentile(F.col("_value"), F.array(*[F.lit(float(p)) for p in points.values()]), F.col("_n"))

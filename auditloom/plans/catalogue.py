@@ -7,7 +7,6 @@ from auditloom.operators import clean as cleaning
 from auditloom.operators import quality, signals
 from auditloom.operators.forest import FEATURES, robust_scale, with_balance_delta
 from auditloom.operators.skew import lookup
-from auditloom.operators.scoring import score
 from auditloom.plans import evaluation, measures, views
 from auditloom.plans.pipeline import pipeline_summary
 from auditloom.plans.warehouse import save_tables, saved_tables, star_join
@@ -516,6 +515,14 @@ def measures_by_risk_tier(ws):
     return _rounded(measures.measures(measures.with_vendor_tier(ws.tables()), ["vendor_risk_tier"]))
 
 
+@query
+def measures_in_one_pass(ws):
+    """The cards and all three groupings, from one scan of the fact."""
+    return _rounded(measures.measures_of_groupings(measures.with_vendor_tier(ws.tables()), {
+        "all": [], "category": ["category"], "risk_level": ["risk_level"],
+        "vendor_risk_tier": ["vendor_risk_tier"], "category and risk_level": ["category", "risk_level"]}))
+
+
 # --- the same with the forest's signal
 
 @query
@@ -567,9 +574,27 @@ def classification_report(ws):
 @query
 def honest_confusion_matrix(ws):
     """The confusion matrix of a score that does not see the label."""
-    rows = score(
-        ws.flagged().drop("anomaly_score", "flag_reasons", "is_flagged", "risk_level"), use_label=False)
-    return evaluation.confusion_matrix(rows.withColumnRenamed("isFraud", evaluation.LABEL))
+    return evaluation.confusion_matrix(evaluation.without_label(ws.flagged()))
+
+
+@query
+def honest_threshold_sweep(ws):
+    return evaluation.threshold_sweep(evaluation.without_label(ws.flagged()))
+
+
+@query
+def honest_precision_recall_curve(ws):
+    return _rounded(evaluation.precision_recall_curve(evaluation.without_label(ws.flagged())))
+
+
+@query
+def honest_roc_auc(ws):
+    return _rounded(evaluation.roc_auc(evaluation.without_label(ws.flagged())))
+
+
+@query
+def honest_score_histogram(ws):
+    return _rounded(evaluation.score_histogram(evaluation.without_label(ws.flagged())))
 
 
 @query

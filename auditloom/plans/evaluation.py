@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from auditloom.functions.columns import money_sum, ratio, tiered
 from auditloom.operators.ordering import running_start
+from auditloom.operators.scoring import score
 from auditloom.operators.skew import lookup
 from auditloom.schema import ACTION_TIERS, SIGNALS
 from auditloom.storage import staged
@@ -21,8 +22,13 @@ def signal_breakdown(fact):
 
 
 def histogram(df, value, bins, by=()):
-    """Equal-width bins between the smallest and the largest value, per group of ``by``."""
-    bounds = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
+    """Equal-width bins between the smallest and the largest value, per group of ``by``.
+
+    The values are counted once, with map-side combine; bounds and bins are both found from these
+    counts, so ``df`` is computed once.
+    """
+    counts = staged(df.where(F.col(value).isNotNull()).groupBy(value, *by).agg(F.count("*").alias("_n")), "counts")
+    bounds = counts.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
     low, high = bounds["lo"], bounds["hi"]
     if low is None:
         low = high = 0.0
@@ -31,9 +37,8 @@ def histogram(df, value, bins, by=()):
     width = (high - low) / bins
     place = F.floor((F.col(value).cast("double") - F.lit(low)) / F.lit(width)).cast("bigint")
     return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.least(place, F.lit(bins - 1).cast("bigint")).alias("bin"), *by)
-        .agg(F.count("*").alias("transactions"))
+        counts.groupBy(F.least(place, F.lit(bins - 1).cast("bigint")).alias("bin"), *by)
+        .agg(F.sum("_n").alias("transactions"))
         .withColumn("bin_start", F.lit(low) + F.col("bin") * F.lit(width))
     )
 
@@ -46,6 +51,15 @@ def hhi_histogram(users, bins=20):
     return histogram(users, "hhi", bins).withColumnRenamed("transactions", "users")
 
 
+def without_label(flagged):
+    """Flagged rows scored anew without the fraud label, for an evaluation that does not measure the label itself.
+
+    They have the columns of the fact that the evaluations read.
+    """
+    blind = flagged.drop("anomaly_score", "flag_reasons", "is_flagged", "risk_level")
+    return score(blind, use_label=False).withColumnRenamed("isFraud", LABEL)
+
+
 def _truth():
     return F.coalesce(F.col(LABEL) == 1, F.lit(False))
 
@@ -149,10 +163,10 @@ def action_tier(fact):
     )
 
 
-def roc_auc(fact, score="anomaly_score"):
+def roc_auc(fact, by="anomaly_score"):
     """Area under the ROC curve of any score; ties count half."""
     truth = _truth()
-    scores = staged(fact.groupBy(F.col(score).alias("score")).agg(
+    scores = staged(fact.groupBy(F.col(by).alias("score")).agg(
         F.count_if(truth).alias("fraud"), F.count_if(~truth).alias("clean")), "scores")
     won = F.col("fraud") * (F.col("_below") + F.col("clean") / 2)
     sums = running_start(scores, ["score"], "clean", "_below").withColumn("won", won).agg(

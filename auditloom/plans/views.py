@@ -6,26 +6,19 @@ category or vendor are built first (map-side combine), and only they meet the di
 
 from pyspark.sql import functions as F
 
-from auditloom.schema import OTHER_COLOR, RISK_COLORS
-
-SUSPICIOUS = """
-    SELECT f.transaction_id, f.timestamp, f.amount, f.category, v.vendor_name, f.vendor_id,
-           f.user_orig_id, f.anomaly_score, f.risk_level, f.flag_reasons, f.flag_duplicate,
-           f.flag_large_transaction, f.flag_unusual_timing, f.flag_vendor_spike,
-           f.flag_velocity, f.flag_multivariate_outlier, f.flag_concentration,
-           f.is_fraud_ground_truth
-    FROM {fact_transactions} f LEFT JOIN {dim_vendor} v ON f.vendor_id = v.vendor_id
-    WHERE f.is_flagged
-    ORDER BY f.anomaly_score DESC, f.transaction_id
-"""
-
-VENDOR_RISK = """
-    SELECT vendor_id, vendor_name, vendor_risk_tier, total_transactions, total_volume,
-           avg_transaction_amount AS avg_transaction_size,
-           flagged_count AS flagged_transaction_count,
-           flagged_rate_pct AS flagged_ratio_pct
-    FROM {dim_vendor}
-    ORDER BY flagged_count DESC, total_volume DESC, vendor_id
+from auditloom.schema import OTHER_COLOR, RISK_COLORS, SUSPICIOUS_COLUMNS, VENDOR_REPORT
+
+SUSPICIOUS = f"""
+    SELECT {", ".join(SUSPICIOUS_COLUMNS)}
+    FROM (SELECT * FROM {{fact_transactions}} WHERE is_flagged)
+    LEFT JOIN (SELECT vendor_id, vendor_name FROM {{dim_vendor}}) USING (vendor_id)
+    ORDER BY anomaly_score DESC, transaction_id
+"""
+
+VENDOR_RISK = f"""
+    SELECT {", ".join(f"{of} AS {name}" for name, of in VENDOR_REPORT.items())}
+    FROM {{dim_vendor}}
+    ORDER BY flagged_transaction_count DESC, total_volume DESC, vendor_id
 """
 
 # Totals of the fact per one key; sums are exact decimals.

@@ -2,8 +2,10 @@
 
 from pyspark.sql import types as T
 
+# The time of step 0.
 BASE_TIMESTAMP = "2024-01-01 00:00:00"
 
+# Names and types of the raw columns.
 RAW_SCHEMA = T.StructType([
     T.StructField("step", T.LongType()),
     T.StructField("type", T.StringType()),
@@ -19,18 +21,21 @@ RAW_SCHEMA = T.StructType([
 ])
 RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
+# Columns of the clean table.
 CLEAN_COLUMNS = RAW_COLUMNS + [
     "is_missing_amount", "is_missing_orig_balance", "timestamp", "hour_of_day",
     "day_of_week", "is_weekend", "is_night", "vendor_id", "category",
     "is_merchant_dest", "is_exact_duplicate", "is_near_duplicate",
 ]
 
+# The seven signals.
 SIGNALS = [
     "flag_duplicate", "flag_large_transaction", "flag_unusual_timing",
     "flag_vendor_spike", "flag_velocity", "flag_multivariate_outlier",
     "flag_concentration",
 ]
 
+# Columns of the flagged table.
 FLAGGED_COLUMNS = CLEAN_COLUMNS + [
     "flag_exact_duplicate", "flag_near_duplicate", "flag_duplicate",
     "flag_large_transaction", "flag_unusual_timing", "flag_vendor_spike",
@@ -50,6 +55,8 @@ SCORE_RULES = [
     ("flag_concentration", 10, "High Spend Concentration"),
     ("isFraud", 50, "Reported Fraud Ground Truth"),
 ]
+
+# The highest score, the score from which a row is flagged, the floor of each level.
 MAX_SCORE = 100
 FLAG_SCORE = 35
 RISK_LEVELS = [(75, "CRITICAL"), (45, "HIGH"), (20, "MEDIUM")]
@@ -94,8 +101,10 @@ MERCHANT_BRANDS = [
     "Kroger Groceries", "Nike Direct", "FedEx Freight", "Stripe Online Merchant",
 ]
 
+# Share of flagged rows, in percent, at which each vendor tier starts.
 VENDOR_TIERS = [(15.0, "HIGH_RISK"), (5.0, "MEDIUM_RISK")]
 
+# Raw columns that have another name in the fact.
 FACT_RENAMES = {
     "nameOrig": "user_orig_id",
     "oldbalanceOrg": "old_balance_orig",
@@ -104,3 +113,21 @@ FACT_RENAMES = {
     "newbalanceDest": "new_balance_dest",
     "isFraud": "is_fraud_ground_truth",
 }
+
+# Columns of the report of suspicious transactions.
+SUSPICIOUS_COLUMNS = [
+    "transaction_id", "timestamp", "amount", "category", "vendor_name", "vendor_id", "user_orig_id", "anomaly_score",
+    "risk_level", "flag_reasons", *SIGNALS, "is_fraud_ground_truth",
+]
+
+# Columns of the vendor report, and the vendor columns they show.
+VENDOR_REPORT = {
+    "vendor_id": "vendor_id",
+    "vendor_name": "vendor_name",
+    "vendor_risk_tier": "vendor_risk_tier",
+    "total_transactions": "total_transactions",
+    "total_volume": "total_volume",
+    "avg_transaction_size": "avg_transaction_amount",
+    "flagged_transaction_count": "flagged_count",
+    "flagged_ratio_pct": "flagged_rate_pct",
+}

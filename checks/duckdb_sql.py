@@ -282,6 +282,20 @@ v_suspicious AS (
 
 STAR_ALL = FLAGGED_ALL + STAR[len(FLAGGED):]
 
+_BLIND = """(25 * CAST(flag_duplicate AS INTEGER) + 20 * CAST(flag_large_transaction AS INTEGER)
+                + 20 * CAST(flag_vendor_spike AS INTEGER) + 15 * CAST(flag_velocity AS INTEGER)
+                + 10 * CAST(flag_unusual_timing AS INTEGER) + 10 * CAST(flag_concentration AS INTEGER))"""
+
+# The same names as in STAR, scored without the fraud label.
+HONEST = SIGNAL + f""",
+fact AS (
+    SELECT *, CASE WHEN anomaly_score >= 75 THEN 'CRITICAL' WHEN anomaly_score >= 45 THEN 'HIGH'
+                   WHEN anomaly_score >= 20 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+    FROM (SELECT amount, isFraud AS is_fraud_ground_truth, {_BLIND} AS anomaly_score,
+                 flag_duplicate OR {_BLIND} >= 35 AS is_flagged FROM signals)),
+money AS (SELECT *, CAST(amount AS DECIMAL(18,2)) AS m FROM fact)
+"""
+
 _FLAG = "count(*) FILTER (is_flagged)"
 _FLAG_VALUE = "CAST(coalesce(sum(m) FILTER (is_flagged), 0) AS DOUBLE)"
 _PCT = f"round(100.0 * {_FLAG} / count(*), 2)"
@@ -425,6 +439,11 @@ def _texts():
     def add(name, ctes, body):
         out[name] = f"WITH RECURSIVE {ctes.strip()} {body}" if _FOREST in ctes else f"WITH {ctes.strip()} {body}"
 
+    def both(name, more, body):
+        """The evaluation with the label in the score, and without it."""
+        add(name, STAR + more, body)
+        add(f"honest_{name}", HONEST + more, body)
+
     raw_list = """row_id, step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig, nameDest, oldbalanceDest,
         newbalanceDest, isFraud, isFlaggedFraud"""
     add("raw_transactions", RAW, f"SELECT {raw_list} FROM txn")
@@ -638,6 +657,18 @@ judged AS (
         SELECT 'Vendor Risk Profile: ' || CASE WHEN count(DISTINCT vendor_risk_tier) = 1 THEN max(vendor_risk_tier)
                    ELSE 'Multiple Vendors' END AS vendor_risk_status FROM dim_vendor""")
     add("kpi_cards", STAR, _measures())
+    add("measures_in_one_pass", STAR + """,
+        tiered AS (SELECT * FROM money JOIN (SELECT vendor_id, vendor_risk_tier FROM dim_vendor) USING (vendor_id)),
+        cards AS (""" + _measures() + "), " + ", ".join(
+            f"{cte} AS ({_measures(by, 'tiered')})" for cte, by in (
+                ("by_category", "category"), ("by_level", "risk_level"), ("by_tier", "vendor_risk_tier"),
+                ("by_both", "category, risk_level"))), """
+        SELECT 'all' AS "grouping", NULL::VARCHAR AS category, NULL::VARCHAR AS risk_level, NULL::VARCHAR AS vendor_risk_tier, *
+        FROM cards
+        UNION ALL BY NAME SELECT 'category' AS "grouping", * FROM by_category
+        UNION ALL BY NAME SELECT 'risk_level' AS "grouping", * FROM by_level
+        UNION ALL BY NAME SELECT 'vendor_risk_tier' AS "grouping", * FROM by_tier
+        UNION ALL BY NAME SELECT 'category and risk_level' AS "grouping", * FROM by_both""")
     add("kpi_cards_with_forest", STAR_ALL, _measures())
     add("measures_by_category", STAR, _measures("category"))
     add("measures_by_risk_level", STAR, _measures("risk_level"))
@@ -647,7 +678,8 @@ judged AS (
     for name, ctes in (("signal_breakdown", STAR), ("signal_breakdown_with_forest", STAR_ALL)):
         add(name, ctes, " UNION ALL ".join(
             f"SELECT '{c}' AS signal, count(*) FILTER ({c}) AS incidents FROM fact" for c in SIGNALS))
-    out["score_histogram"] = f"WITH {STAR.strip()}, " + _bins("fact", "anomaly_score", 30, "risk_level").strip()
+    for name, ctes in (("score_histogram", STAR), ("honest_score_histogram", HONEST)):
+        out[name] = f"WITH {ctes.strip()}, " + _bins("fact", "anomaly_score", 30, "risk_level").strip()
     out["hhi_histogram"] = f"WITH {SIGNAL.strip()}, " + _bins("hhi", "hhi", 20, name="users").strip()
 
     def cells(source, label):
@@ -688,17 +720,17 @@ judged AS (
                      count(*) FILTER (NOT {_FRAUD} AND is_flagged) AS false_positives,
                      CAST(coalesce(sum(m) FILTER ({_FRAUD} AND NOT is_flagged), 0) AS DOUBLE) AS missed_amount
               FROM money)""")
-    add("threshold_sweep", STAR + _SWEEP, """
+    both("threshold_sweep", _SWEEP, """
         SELECT threshold, true_positives, false_positives, false_negatives,
                missed + false_positives * 25.0::DOUBLE AS total_cost FROM sweep""")
-    add("precision_recall_curve", STAR + _SWEEP, f"""
+    both("precision_recall_curve", _SWEEP, f"""
         SELECT threshold,
                round({_ratio("true_positives", "(true_positives + false_positives)")}, 6) AS "precision",
                round({_ratio("true_positives", "(true_positives + false_negatives)")}, 6) AS recall FROM sweep""")
     add("action_tier", STAR, f"""
         SELECT {_action()} AS action, count(*) AS transactions, CAST(sum(m) AS DOUBLE) AS value
         FROM money GROUP BY action""")
-    add("roc_auc", STAR + f""",
+    both("roc_auc", f""",
         s AS (SELECT anomaly_score, count(*) FILTER ({_FRAUD}) AS p, count(*) FILTER (NOT {_FRAUD}) AS n
               FROM fact GROUP BY anomaly_score)""", """
         SELECT round(sum(a.p * b.n * CASE WHEN a.anomaly_score > b.anomaly_score THEN 1.0::DOUBLE
