@@ -2,12 +2,14 @@
 
 Lexicons of words and word stems are learned from labelled documents; their densities, the
 proximity of hits to second-person words, capitals, punctuation and obfuscation rates are the
-features. Lexicons, trees and calibration are fitted on separate folds of a bounded sample of
-labelled rows, so none of them trusts what an earlier one learned by heart.
+features. All are fitted on a bounded sample of labelled rows, cross-fitted: the features of a fold
+come from a lexicon learned without it, and the calibration sees raw scores of trees that did not
+see the row, so none of them trusts what an earlier one learned by heart, however few labels there are.
 """
 
 import re
 from collections import Counter
+from functools import partial, reduce
 from math import log, log1p
 
 import numpy as np
@@ -16,13 +18,14 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import map_arrow, small_batches, texts, utf8
-from auditloom.storage import staged
+from auditloom.storage import concurrently, staged
 
 FIT_ROWS = 20_000      # labelled rows used, smallest hashes of the id first
-FOLDS = 10             # folds 0-4 fit the lexicons, 5-7 the trees, 8 and 9 the calibration
+FOLDS = 3              # each is left out once; both labels are dealt evenly to them
 LEXICON_TERMS = 4_000  # terms kept, best first
 LEAST_DOCS = 3         # toxic documents a term must be in
 LEAST_ODDS = 2.0       # least log ratio of its document rates
@@ -157,33 +160,42 @@ def fit_sample(docs, labels, fit_rows=FIT_ROWS):
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     chosen = ids.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(FOLDS)).cast("int")
+    # the window sees ids and labels of the bounded sample only
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id"))
+    chosen = staged(chosen.withColumn("fold", (place % FOLDS).cast("int")), "chosen")
     return staged(
         rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
-        .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-        .select("doc_id", "text", "toxic", fold.alias("fold")), "labelled")
+        .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"), F.max("fold").alias("fold")), "labelled")
 
 
-def learn_lexicon(sample):
-    """The terms whose document rate is much larger in toxic documents; a bounded number of them."""
+def term_counts(sample):
+    """Staged rows (term, toxic, fold, n): in how many texts of a fold and label each term is."""
     def counts(batch):
         found = Counter()
         for part in small_batches(batch, "text"):
-            for text, toxic in zip(texts(part.column("text")), part.column("toxic").to_pylist()):
+            for text, toxic, fold in zip(
+                    texts(part.column("text")), part.column("toxic").to_pylist(), part.column("fold").to_pylist()):
                 for term in {t for w in set(WORD.findall(text.lower())) for t in terms_of(w)}:
-                    found[term, toxic] += 1
+                    found[term, toxic, fold] += 1
         keys = list(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array(list(found.values()), pa.int64())], ["term", "toxic", "n"])
+             pa.array([k[2] for k in keys], pa.int32()), pa.array(list(found.values()), pa.int64())],
+            ["term", "toxic", "fold", "n"])
 
-    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    if not bad or not good:
-        return Lexicon({})
+    rows = map_arrow(sample.select("text", "toxic", "fold"), counts, "term string, toxic int, fold int, n bigint")
+    return staged(rows.groupBy("term", "toxic", "fold").agg(F.sum("n").alias("n")), "terms")
+
+
+def learn_lexicon(counts, sizes, without=-1):
+    """The terms whose document rate is much larger in toxic documents; a bounded number of them.
+
+    ``counts`` is ``term_counts``, ``sizes`` the texts by (fold, toxic); the fold ``without`` is left out.
+    """
+    bad, good = [sum(n for (fold, toxic), n in sizes.items() if toxic == kind and fold != without) for kind in (1, 0)]
     in_bad = F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0))
     in_good = F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0))
-    terms = map_arrow(sample.select("text", "toxic"), counts, "term string, toxic int, n bigint").groupBy("term").agg(
+    terms = counts.where(F.col("fold") != without).groupBy("term").agg(
         in_bad.alias("bad"), in_good.alias("good")).where(F.col("bad") >= LEAST_DOCS)
     odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5)) - F.lit(log((bad + 1) / (good + 1)))
     best = terms.withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS).orderBy(
@@ -192,7 +204,7 @@ def learn_lexicon(sample):
 
 
 class Model:
-    """Lexicon (it may be empty), trees and calibration; if the sample's labels are all of one kind, a constant."""
+    """Lexicon (it may be empty), trees and calibration; with fewer than two labels of a kind, a constant."""
 
     def __init__(self, lexicon, trees, calibration, constant):
         self.lexicon, self.trees, self.calibration, self.constant = lexicon, trees, calibration, constant
@@ -203,8 +215,7 @@ class Model:
         if self.trees is None:
             return rows.select(*kept, F.lit(float(self.constant)).alias("score"))
         scored = _raw_scores(_with_features(rows, self.lexicon, kept), self.trees)
-        scored = self.calibration.transform(scored) if self.calibration else scored.withColumn("score", F.col("raw"))
-        return scored.select(*kept, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+        return self.calibration.transform(scored).select(*kept, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def _raw_scores(rows, trees):
@@ -213,34 +224,38 @@ def _raw_scores(rows, trees):
 
 
 def train(docs, labels, fit_rows=FIT_ROWS):
-    """Fit on labelled rows that are not held out; see ``fit_sample`` for the bound."""
+    """Fit on labelled rows that are not held out; see ``fit_sample`` for the bound.
+
+    With fewer than two labelled rows of a kind nothing can be confirmed by another row, and the
+    score is a constant: 1 if there are more toxic rows than others, else 0.
+    """
     sample = fit_sample(docs, labels, fit_rows)
-    lexicon = learn_lexicon(sample.where("fold < 5"))
-    rows = staged(
-        _with_features(sample.where("fold >= 5").select("doc_id", "toxic", "fold", "text"), lexicon,
-                       ["doc_id", "toxic", "fold"]), "features").withColumn("label", F.col("toxic").cast("double"))
-    fitted = F.col("fold") < 8
-    if rows.where(fitted).select("toxic").distinct().count() < 2:
-        # too few labels for folds: the trees take all there are, and nothing is left to calibrate them
-        if sample.select("toxic").distinct().count() < 2:
-            share = sample.agg(F.avg("toxic")).first()[0]
-            return Model(None, None, None, share or 0.0)
-        fitted = F.lit(True)
-        rows = staged(_with_features(sample, lexicon, ["doc_id", "toxic", "fold"]), "features").withColumn(
-            "label", F.col("toxic").cast("double"))
-    # one order and one partition, of bounded size, whatever the cluster: the same trees each time
-    fit = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(
-        rows.where(fitted).coalesce(1).sortWithinPartitions("doc_id"))
-    trees = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(fit)
-    held = staged(_raw_scores(rows.where(~fitted), trees).select("label", "raw"), "calibration")
-    if held.select("label").distinct().count() < 2:
-        return Model(lexicon, trees, None, 0.0)
+    sizes = {(r.fold, r.toxic): r.n for r in sample.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
+    bad, good = [sum(n for (_, toxic), n in sizes.items() if toxic == kind) for kind in (1, 0)]
+    if min(bad, good) < 2:
+        return Model(None, None, None, float(bad > good))
+    counts = term_counts(sample)
+    folds = [
+        _with_features(sample.where(F.col("fold") == i), learn_lexicon(counts, sizes, i), ["doc_id", "toxic", "fold"])
+        for i in range(FOLDS)]
+    rows = staged(reduce(lambda one, other: one.unionByName(other), folds), "features").withColumn(
+        "label", F.col("toxic").cast("double"))
+
+    def grow(without=-1):
+        # one order and one partition, of bounded size, whatever the cluster: the same trees each time
+        fit = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(
+            rows.where(F.col("fold") != without).coalesce(1).sortWithinPartitions("doc_id"))
+        return GBTClassifier(
+            featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(fit)
+
+    trees, *others = concurrently(docs.sparkSession, grow, *[partial(grow, i) for i in range(FOLDS)])
+    unseen = [_raw_scores(rows.where(F.col("fold") == i), t).select("label", "raw") for i, t in enumerate(others)]
     # equal raw scores, of which there are few, meet in one task: they are averaged first
-    held = held.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    held = staged(reduce(lambda one, other: one.unionByName(other), unseen).groupBy("raw").agg(
+        F.avg("label").alias("label"), F.count("*").cast("double").alias("weight")), "calibration")
     calibration = IsotonicRegression(
         featuresCol="raw", labelCol="label", predictionCol="score", weightCol="weight").fit(held)
-    return Model(lexicon, trees, calibration, 0.0)
+    return Model(learn_lexicon(counts, sizes), trees, calibration, 0.0)
 
 
 def score(docs, model):
