@@ -9,7 +9,7 @@ see the row, so none of them trusts what an earlier one learned by heart, howeve
 
 import re
 from collections import Counter
-from functools import partial, reduce
+from functools import reduce
 from math import log, log1p
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import map_arrow, small_batches, texts, utf8
-from auditloom.storage import concurrently, staged
+from auditloom.storage import staged
 
 FIT_ROWS = 20_000      # labelled rows used, smallest hashes of the id first
 FOLDS = 3              # each is left out once; both labels are dealt evenly to them
@@ -248,14 +248,14 @@ def train(docs, labels, fit_rows=FIT_ROWS):
         return GBTClassifier(
             featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(fit)
 
-    trees, *others = concurrently(docs.sparkSession, grow, *[partial(grow, i) for i in range(FOLDS)])
-    unseen = [_raw_scores(rows.where(F.col("fold") == i), t).select("label", "raw") for i, t in enumerate(others)]
+    # one fit after the other, as each takes room on the driver
+    unseen = [_raw_scores(rows.where(F.col("fold") == i), grow(i)).select("label", "raw") for i in range(FOLDS)]
     # equal raw scores, of which there are few, meet in one task: they are averaged first
     held = staged(reduce(lambda one, other: one.unionByName(other), unseen).groupBy("raw").agg(
         F.avg("label").alias("label"), F.count("*").cast("double").alias("weight")), "calibration")
     calibration = IsotonicRegression(
         featuresCol="raw", labelCol="label", predictionCol="score", weightCol="weight").fit(held)
-    return Model(learn_lexicon(counts, sizes), trees, calibration, 0.0)
+    return Model(learn_lexicon(counts, sizes), grow(), calibration, 0.0)
 
 
 def score(docs, model):
