@@ -2,6 +2,7 @@ import random
 import re
 import string
 import time
+import uuid
 
 import numpy as np
 from hypothesis import given, settings
@@ -44,9 +45,9 @@ def test_model_tells_random_strings_from_words(spark):
     model = words_model(spark)
     held = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     strings = op.sample_strings(held, 200).collect()
-    long = [(r.random, op.ratio(model, r.value)) for r in strings if len(r.value) >= op.MIN_TOKEN and r.value.isalnum()]
+    long = [(r.random, model.is_random(r.value)) for r in strings if len(r.value) >= 16 and r.value.isalnum()]
     assert sum(r for r, _ in long) > 50
-    right = sum(r == (s >= op.THRESHOLD) for r, s in long)
+    right = sum(r == found for r, found in long)
     assert right / len(long) > 0.95
     text = "see kT9vXq2LmZ81RwYb4HsNcE7d and internationalization1 internationally"
     base, spans = op.find_spans(text, model)
@@ -69,6 +70,45 @@ def test_tokens_without_a_digit_are_judged_by_the_models(spark):
     assert tokens and not any(map(found, tokens))
 
 
+def test_identifiers_are_left_and_keys_found(spark):
+    model, rng = words_model(spark), random.Random(5)
+    ids = [str(uuid.UUID(int=rng.getrandbits(128), version=4)) for _ in range(500)]
+    assert sum(map(model.is_random, ids)) <= 5
+    assert not any(map(model.is_random, [
+        "2024-01-01T00", "4539148803436467", "getElementsByClassName", "XMLHttpRequestEventTargetPrototype",
+        "max_connection_pool_size", "/var/lib/data/part-00017"]))
+    for size, share in ((8, 0.8), (12, 0.95), (16, 0.97), (24, 0.99), (40, 0.97)):
+        keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size)) for _ in range(500)]
+        assert sum(map(model.is_random, keys)) >= share * 500
+
+
+def test_threshold_holds_the_false_rate_on_held_out_strings(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strings = op.sample_strings(docs, 300).collect()
+    model = words_model(spark)
+    held = [r.value for r in strings if r.held and not r.random and len(r.value) >= op.BANDS[0]]
+    trained = {r.value for r in strings if not r.held and r.value.isalpha()}
+    assert len(held) > 1_000 and trained.isdisjoint(held)
+    bands = [[v for v in held if op.band(len(v)) == b] for b in range(len(op.BANDS))]
+    for found in bands:
+        if len(found) >= op.LEAST_HELD:
+            assert sum(map(model.is_random, found)) <= op.FALSE_RATE * len(found)
+
+
+def test_thresholds_by_brute_force(spark):
+    rng, rows = random.Random(2), []
+    for size in [9] * 400 + [13] * 150 + [20] * 99 + [100] * 3:
+        rows.append(("".join(rng.choice("abcXYZ019") for _ in range(size)),))
+    table = np.random.default_rng(4).normal(size=(op.START + 1, op.START + 1))
+    least = op.learn_least(spark.createDataFrame(rows, "value string").repartition(3), table)
+    most = [max(op.ratio(table, v) / len(v) for v, in rows if len(v) == size) for size in (9, 13)]
+    for got, score in zip(least, most):
+        assert max(score, 0) < got <= max(score, 0) + op.CELL * 1.001
+    assert least[2:] == [max(least[:2])] * (len(op.BANDS) - 2)
+    none = op.learn_least(spark.createDataFrame([], "value string"), table)
+    assert none == [np.inf] * len(op.BANDS) and not op.Model(table, none).is_random("kT9vXq2LmZ81RwYb")
+
+
 def test_scan_counts_code_points_and_keeps_rows(spark):
     docs = awkward_documents(spark)
     rows = op.scan(docs, words_model(spark)).collect()
@@ -94,7 +134,7 @@ def test_rows_do_not_depend_on_partitions(spark):
 
 
 def test_long_texts_take_linear_time():
-    model = np.zeros((op.START + 1, op.START + 1))
+    model = op.Model(np.zeros((op.START + 1, op.START + 1)), [1.0] * len(op.BANDS))
     rng = random.Random(1)
     hexes = " ".join("%032x" % rng.getrandbits(128) for _ in range(31_000))
     for text in (hexes, "x" * 1_000_000, "0" * 1_000_000, "password=" * 110_000):
