@@ -34,6 +34,7 @@ CELL = 0.01             # scores of held-out strings are counted in cells of thi
 HELD = 3                # one word in so many is held back from training
 LEAST_RANDOM = 16       # characters of an assigned value that trains the model of random strings
 SMOOTHING = 0.5
+KNOWN = 200_000         # tokens whose answer a task remembers
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -162,13 +163,21 @@ class Model:
     """Log ratios of the transitions, and the least ratio per character of a random string in each band.
 
     ``least`` is infinite in a band without a threshold: the models call no token of it random.
+    Answers for short tokens, which repeat, are remembered, for at most ``KNOWN`` of them.
     """
 
     def __init__(self, table, least):
         self.table, self.least = table, least
+        self.known = {}
 
     def is_random(self, token):
-        return ratio(self.table, token) >= max(len(token) * self.least[band(len(token))], -log(FALSE_RATE))
+        if (found := self.known.get(token)) is None:
+            found = ratio(self.table, token) >= max(len(token) * self.least[band(len(token))], -log(FALSE_RATE))
+            if len(token) < BANDS[-1]:
+                if len(self.known) >= KNOWN:
+                    self.known.clear()
+                self.known[token] = found
+        return found
 
 
 def band(length):
