@@ -1,15 +1,18 @@
 """SimHash fingerprints and their near-duplicate classes by a self-join of a binary trie.
 
 The trie over the distinct fingerprints is walked level by level. A frontier row is a pair of
-nodes of one depth with the bits they differ in; a join with the children of both nodes makes the
-next frontier, and pairs over the error budget are pruned. Of two fingerprints within k bits,
+nodes of one depth with the bits they differ in. A child of the one node names all nodes that lie
+within the error budget below the other one, and an equality join finds those that exist, so no
+children are compared pair by pair. Of two fingerprints within k bits,
 either the upper halves differ in at most k/2 bits, or the lower halves in at most (k-1)/2. So the
 trie is walked once in bit order with budget k/2 inside the upper half, and once with the halves
-exchanged and budget (k-1)/2, which keeps frontiers near the number of nodes. Below the half the
-budget is k less the bits already spent.
+exchanged and budget (k-1)/2, which keeps frontiers near the number of nodes. With a budget of one bit at most
+the first step takes the whole half: higher up, where the trie is full, nearly every node has a
+neighbour. Below the half the budget is k less the bits already spent.
 """
 
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +81,13 @@ def _nodes(keys, depth, to):
                         .when(F.col("n") == 3, F.array("low", "high", middle)).alias("ax"))
 
 
+def _flips(bits, most):
+    """The whole numbers of ``bits`` bits of which at most ``most`` are set."""
+    return F.array(*[
+        F.lit(sum(1 << i for i in places)).cast("bigint")
+        for n in range(min(most, bits) + 1) for places in combinations(range(bits), n)])
+
+
 def _walk(keys, upper, budget):
     """Pairs of different keys that differ in at most ``budget`` bits, and in at most ``upper`` of the upper half.
 
@@ -86,13 +96,11 @@ def _walk(keys, upper, budget):
     with their children, down to the last bit where there are that many keys.
     """
     found = []
-    depth = 2 * STRIDE
+    depth = HALF if upper <= 1 else 2 * STRIDE
     nodes = _nodes(keys, 0, depth).drop("a")
-    masks = [m for m in range(1 << depth) if m.bit_count() <= upper]
-    flips = F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))
-    pairs = nodes.withColumn("flips", flips).select(
+    pairs = nodes.withColumn("flips", F.explode(_flips(depth, upper))).select(
         "x", "ax", F.col("x").bitwiseXOR(F.col("flips")).alias("y"), F.bit_count("flips").alias("diff"))
-    pairs = pairs.join(nodes.select(F.col("x").alias("y"), F.col("ax").alias("by")), "y").where("x <= y")
+    pairs = pairs.where("x <= y").join(nodes.select(F.col("x").alias("y"), F.col("ax").alias("by")), "y")
     while True:
         alone = (F.col("x") == F.col("y")) & (F.size("ax") == 1)
         pairs = staged(pairs.where(~F.coalesce(alone, F.lit(False))).select("x", "ax", "y", "by", "diff"), "frontier")
@@ -106,11 +114,14 @@ def _walk(keys, upper, budget):
         # only keys below a node of the frontier are looked at again
         wanted = frontier.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
         left = _nodes(keys.join(wanted, _prefix("key", depth) == F.col("wanted"), "left_semi"), depth, to)
-        right = left.select(F.col("a").alias("b"), F.col("x").alias("y"), F.col("ax").alias("by"))
-        fresh = F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit((1 << (to - depth)) - 1))
-        pairs = frontier.join(left, "a").join(right, "b").where("a <> b OR x <= y")
-        pairs = pairs.withColumn("diff", F.col("diff") + F.bit_count(fresh)).where(
-            F.col("diff") <= (upper if to <= HALF else budget))
+        right = left.select(F.col("x").alias("y"), F.col("ax").alias("by"))
+        limit = upper if to <= HALF else budget
+        flips = F.filter(_flips(to - depth, limit), lambda m: F.bit_count(m) <= limit - F.col("diff"))
+        fresh = F.col("x").bitwiseAND(F.lit((1 << (to - depth)) - 1)).bitwiseXOR(F.col("flips"))
+        pairs = frontier.join(left, "a").withColumn("flips", F.explode(flips)).select(
+            "a", "b", "x", "ax", F.shiftleft("b", to - depth).bitwiseOR(fresh).alias("y"),
+            (F.col("diff") + F.bit_count("flips")).alias("diff"))
+        pairs = pairs.where("a <> b OR x <= y").join(right, "y")
         depth = to
 
 

@@ -157,3 +157,13 @@ def test_variants_of_a_template_leave_the_walk_early(spark, monkeypatch):
     found, pairs = seen(spark, keys, monkeypatch)
     assert found == brute_links(keys)
     assert pairs < len(keys) ** 2 / 8
+
+
+def test_node_pairs_of_unlike_keys_do_not_grow_with_their_square(spark, monkeypatch):
+    rng = random.Random(7)
+    for size in (4_000, 20_000):
+        keys = {rng.getrandbits(64) for _ in range(size)}
+        keys |= {k ^ 1 << rng.randrange(64) for k in list(keys)[:size // 20]}
+        found, pairs = seen(spark, keys, monkeypatch)
+        assert found == brute_links(keys)
+        assert pairs < size / 2
