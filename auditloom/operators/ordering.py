@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from auditloom.operators.skew import MAX_TASKS, TASK_ROWS
+from auditloom.operators.skew import task_count
 from auditloom.storage import staged
 
 ONE_TASK_ROWS = 1_000_000
@@ -18,11 +18,8 @@ def stage_in_order(df, order, name="ordered", total=None):
     The table gets ``_task`` and ``_place``: the range a row lies in, and its place there.
     Both are written with the rows, so every later reader sees the same ranges.
     """
-    tasks = min((df.count() if total is None else total) // TASK_ROWS, MAX_TASKS)
-    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        ranges = df.repartitionByRange(*order)
-    else:
-        ranges = df.repartitionByRange(tasks, *order)
+    tasks = task_count(df.sparkSession, df.count() if total is None else total)
+    ranges = df.repartitionByRange(tasks, *order) if tasks else df.repartitionByRange(*order)
     ranged = (
         ranges.sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())

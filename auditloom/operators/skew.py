@@ -5,8 +5,8 @@ from pyspark.sql import types as T
 
 from auditloom.storage import staged
 
-HEAVY_ROWS = 2_000_000         # a key with fewer rows fits one task
-TASK_ROWS = 4_000_000          # rows a task of a row shuffle should get
+HEAVY_ROWS = 500_000           # a key with fewer rows fits one task
+TASK_ROWS = 250_000            # rows a task of a row shuffle should get; all rules together need 2.5 KB a row
 MAX_TASKS = 100_000            # more tasks would make too many shuffle blocks
 BROADCAST_VALUES = 1_000_000   # values of the largest lookup table sent to every executor
 TEXT_BYTES = 16                # of a text that count as one value
@@ -16,17 +16,26 @@ SPREAD = 4_096
 def heaviest(counts, weight, heavy_rows=None):
     """The rows of ``counts`` whose weight exceeds ``heavy_rows``.
 
-    Weights add up to the rows there are, so a trillion rows have at most 500,000 of them.
+    Weights add up to the rows there are, so a trillion rows have at most two million of them.
     """
     return counts.where(F.col(weight) > (HEAVY_ROWS if heavy_rows is None else heavy_rows))
 
 
+def task_count(spark, total, task_rows=TASK_ROWS):
+    """Tasks for a shuffle of ``total`` rows, or None where the session's setting gives them few enough.
+
+    Adaptive execution merges the session's partitions until about one a core is left, whatever they
+    hold, so rows that need more tasks than there are cores get a number that it leaves alone.
+    """
+    tasks = min(-(-(total or 0) // task_rows), MAX_TASKS)
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(tasks, default) if tasks > min(default, spark.sparkContext.defaultParallelism) else None
+
+
 def shuffle_by(rows, total, *keys, task_rows=TASK_ROWS):
     """Hash partition ``total`` rows, into more tasks than the session's default if they need them."""
-    tasks = min((total or 0) // task_rows, MAX_TASKS)
-    if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        return rows.repartition(tasks, *keys)
-    return rows.repartition(*keys)
+    tasks = task_count(rows.sparkSession, total, task_rows)
+    return rows.repartition(tasks, *keys) if tasks else rows.repartition(*keys)
 
 
 def count_keys(rows, key):

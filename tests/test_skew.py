@@ -147,6 +147,20 @@ def test_shuffle_by_takes_more_tasks_for_more_rows(spark):
     assert shuffle_by(df, 1000, "id").rdd.getNumPartitions() <= 8
 
 
+def test_tasks_of_a_row_shuffle_stay_small_below_the_default_number_of_partitions(spark):
+    """Adaptive execution would merge 200 partitions to one a core."""
+    df = spark.range(1000)
+    set_before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert shuffle_by(df, 36_000_000, "id").rdd.getNumPartitions() == 200
+        assert shuffle_by(df, 1000, "id", task_rows=50).rdd.getNumPartitions() == 200
+        assert shuffle_by(df, 100_000_000, "id").rdd.getNumPartitions() == 400
+        assert shuffle_by(df, 1000, "id").rdd.getNumPartitions() <= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", set_before)
+
+
 def test_star_join_with_large_vendor_table(ws):
     plain = star_join(ws.tables())
     forced = star_join(ws.tables(), **FORCED).select(*plain.columns)
