@@ -21,6 +21,19 @@ def test_profile(spark):
     assert dq_checks(five_rows(spark)).first().negative_amounts == 0
 
 
+def test_profile_in_many_tasks_of_few_values(spark):
+    rows = [(None if i % 5 == 0 else i, float("nan") if i % 3 else -0.0 if i % 2 else 0.0, f"t{i % 7}", None, "same")
+            for i in range(600)] + [(None, None, None, None, None)] * 300 + [(1, 1.0, "t1", None, "same")] * 300
+    df = spark.createDataFrame(rows, "row_id bigint, a double, b string, c bigint, `d.e` string")
+    expected = df.agg(*[F.count_distinct(f"`{c}`").alias(c) for c in df.columns]).first().asDict()
+    for task_values in (100, 10 ** 6):
+        for columns in (None, ["a", "b", "c", "d.e", "row_id"]):
+            got = column_profile(df, columns, task_values=task_values).collect()
+            assert {r["column"]: r.n_unique for r in got} == {
+                c: n for c, n in expected.items() if columns or c != "row_id"}
+            assert {r["column"]: r.n_missing for r in got}["c"] == 1200
+
+
 def test_approximate_profile(spark):
     rows = {r["column"]: r for r in column_profile(five_rows(spark), approximate=True).collect()}
     assert rows["nameOrig"]["n_unique"] == 4
