@@ -13,9 +13,9 @@ from auditloom.plans.warehouse import save_tables, saved_tables, star_join
 from auditloom.plans.workspace import workspace
 from auditloom.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS, RAW_COLUMNS
 from auditloom.sources import sampling, synthetic
-from auditloom.sources.sinks import read_table, write_table
+from auditloom.sources.sinks import common_rows, read_table, write_table
 from auditloom.sources.transactions import load, load_all, scan
-from auditloom.storage import new_path, staged
+from auditloom.storage import concurrently, new_path, staged
 
 QUERIES = {}
 
@@ -86,9 +86,10 @@ def load_audit(ws):
 def write_roundtrip(ws):
     path = new_path(ws.spark, "clean")
     rows = ws.clean().select("row_id", *CLEAN_COLUMNS)
-    write_table(rows, path, "clean_transactions")
-    back = [read_table(ws.spark, path, "clean_transactions", rows.schema, k) for k in ("parquet", "csv")]
-    return back[0].intersectAll(back[1]).select(
+    kinds = ("parquet", "csv")
+    concurrently(ws.spark, *[lambda k=k: write_table(rows, path, "clean_transactions", (k,)) for k in kinds])
+    back = [read_table(ws.spark, path, "clean_transactions", rows.schema, k) for k in kinds]
+    return common_rows(*back).select(
         "row_id", "step", "category", "amount", "vendor_id", "timestamp", "is_night", "is_near_duplicate")
 
 

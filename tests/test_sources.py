@@ -9,7 +9,7 @@ from auditloom.plans.views import register_views, risk_color, slice_fact
 from auditloom.plans.warehouse import save_tables
 from auditloom.schema import RAW_COLUMNS
 from auditloom.sources.sampling import number_by_id, sample_summary, shuffled, stratified_sample
-from auditloom.sources.sinks import write_table
+from auditloom.sources.sinks import common_rows, write_table
 from auditloom.sources.synthetic import generate_transactions
 from auditloom.sources.transactions import UnreadableValues, load, load_all, staging
 from tests.frames import five_rows, random_raw
@@ -244,3 +244,14 @@ def test_typed_input_is_checked_too(spark, tmp_path):
 def test_categories_lose_every_kind_of_space(spark, space):
     df = five_rows(spark).withColumn("type", F.concat(F.lit(space), F.lit("a" + space + "b"), F.lit(space * 2)))
     assert {r.type for r in normalize_category(df).select("type").collect()} == {("a" + space + "b").upper()}
+
+
+def test_common_rows_in_many_tasks_are_those_of_intersect_all(spark):
+    rows = [(i % 40 if i % 3 else None, float("nan") if i % 5 == 0 else -0.0 if i % 5 == 1 else 1.5, f"t{i % 4}") for i in range(400)]
+    one = spark.createDataFrame(rows, "row_id bigint, amount double, `a.b` string")
+    other = spark.createDataFrame(
+        [(r, 0.0 if a == 0 else a, t) for r, a, t in rows[::2]] + [(7, 9.0, "x")] * 3, one.schema)
+    for a, b in ((one, other), (other, one)):
+        many = common_rows(a, b, task_rows=10)
+        assert many.rdd.getNumPartitions() >= 40
+        assert sorted(map(str, many.collect())) == sorted(map(str, a.intersectAll(b).collect()))
