@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from auditloom.storage import staged
+from auditloom.storage import few_tasks, staged
 
 
 def connected_components(links, max_rounds=100):
@@ -16,9 +16,10 @@ def connected_components(links, max_rounds=100):
     edges = staged(
         links.select(F.col("a").alias("u"), F.col("b").alias("v"))
         .unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "edges")
-    parents = staged(
+    rows = 2 * edges.count()   # a round makes two offers for each node, and no more nodes than edges
+    parents = staged(few_tasks(
         edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("_least"))
-        .select("node", F.least("node", "_least").alias("parent"), F.lit(True).alias("changed")), "parents")
+        .select("node", F.least("node", "_least").alias("parent"), F.lit(True).alias("changed")), rows), "parents")
     for _ in range(max_rounds):
         if parents.where("changed").isEmpty():
             return parents.select("node", F.col("parent").alias("root"))
@@ -31,7 +32,7 @@ def connected_components(links, max_rounds=100):
             F.struct("node", F.least("parent", "grand", "least").alias("parent"), F.col("parent").alias("old")),
             F.struct(F.col("parent").alias("node"), F.col("least").alias("parent"),
                      F.lit(None).cast("bigint").alias("old")))).alias("o")).select("o.*")
-        parents = staged(
+        parents = staged(few_tasks(
             offers.groupBy("node").agg(F.min("parent").alias("parent"), F.max("old").alias("old"))
-            .select("node", "parent", (F.col("parent") != F.col("old")).alias("changed")), "parents")
+            .select("node", "parent", (F.col("parent") != F.col("old")).alias("changed")), rows), "parents")
     raise RuntimeError(f"no end after {max_rounds} rounds")

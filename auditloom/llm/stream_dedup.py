@@ -12,13 +12,14 @@ rows are grouped again by the texts themselves.
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import ascii_lower
-from auditloom.storage import new_path, staged, write_staged
+from auditloom.storage import few_tasks, new_path, staged, write_staged
 
 MAX_BATCH_BYTES = 256 << 30   # of the files a micro-batch reads
 STORE_MEMORY_MB = 256      # native memory of the state stores of an executor
 FILTER_SLOTS = 1 << 28     # bits of the largest filter broadcast before texts are shuffled: 32 MB
 
 _STORE = "spark.sql.streaming.stateStore."
+_FILES = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
 
 
 def sha256(text):
@@ -38,6 +39,10 @@ def _stream_session(spark):
         _STORE + "providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     session.conf.set(_STORE + "rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set(_STORE + "rocksdb.allowFAllocate", "false")   # else each store reserves megabytes of disk
+    # the checkpoint is read by its own run only; a file of checksums for each of its files would take four threads a store,
+    # and on a local folder each rename of the default manager starts four processes
+    session.conf.set("spark.sql.streaming.checkpoint.fileChecksum.enabled", "false")
+    session.conf.set("spark.sql.streaming.checkpointFileManagerClass", _FILES)
     session.conf.set(_STORE + "rocksdb.boundedMemoryUsage", "true")
     session.conf.set(_STORE + "rocksdb.maxMemoryUsageMB", STORE_MEMORY_MB)
     return session
@@ -111,11 +116,12 @@ def _decisions(docs, digest, max_batch_bytes):
         digest(text).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     path = new_path(spark, "arrivals")
     arrivals = write_staged(rows, path)
-    if arrivals.isEmpty():
+    n = arrivals.count()
+    if not n:
         return arrivals, arrivals.select(
             "row", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.col("row").alias("group_size"))
     keys = arrivals.select("row", "doc_id", "digest")
-    state = staged(_keyed_state(spark, path, keys.schema, max_batch_bytes), "groups")
+    state = staged(few_tasks(_keyed_state(spark, path, keys.schema, max_batch_bytes), n), "groups")
 
     hits = staged(state.where("copies > 1").select("digest", F.col("keep.row").alias("row")), "hits")
     body = ascii_lower(F.coalesce(F.col("doc.text"), F.lit(""))).cast("binary")
@@ -137,7 +143,7 @@ def _decisions(docs, digest, max_batch_bytes):
     decided = _decide(keys, groups, "digest")
     if exact is not None:
         decided = decided.unionByName(exact)
-    return arrivals, staged(decided, "decided")
+    return arrivals, staged(few_tasks(decided, 2 * n) if exact is None else decided, "decided")
 
 
 def deduplicate(docs, digest=sha256, max_batch_bytes=MAX_BATCH_BYTES):

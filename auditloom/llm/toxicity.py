@@ -22,7 +22,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import map_arrow, small_batches, texts, utf8
-from auditloom.storage import staged
+from auditloom.storage import few_tasks, staged
 
 FIT_ROWS = 20_000      # labelled rows used, smallest hashes of the id first
 FOLDS = 3              # each is left out once; both labels are dealt evenly to them
@@ -251,8 +251,8 @@ def train(docs, labels, fit_rows=FIT_ROWS):
     # one fit after the other, as each takes room on the driver
     unseen = [_raw_scores(rows.where(F.col("fold") == i), grow(i)).select("label", "raw") for i in range(FOLDS)]
     # equal raw scores, of which there are few, meet in one task: they are averaged first
-    held = staged(reduce(lambda one, other: one.unionByName(other), unseen).groupBy("raw").agg(
-        F.avg("label").alias("label"), F.count("*").cast("double").alias("weight")), "calibration")
+    held = staged(few_tasks(reduce(lambda one, other: one.unionByName(other), unseen).groupBy("raw").agg(
+        F.avg("label").alias("label"), F.count("*").cast("double").alias("weight")), bad + good), "calibration")
     calibration = IsotonicRegression(
         featuresCol="raw", labelCol="label", predictionCol="score", weightCol="weight").fit(held)
     return Model(learn_lexicon(counts, sizes), grow(), calibration, 0.0)

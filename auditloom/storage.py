@@ -5,6 +5,7 @@ the job) and has a known file size, so later joins choose broadcast or shuffle
 from facts.
 """
 
+import math
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -15,6 +16,7 @@ from pyspark.util import inheritable_thread_target
 
 FOLDER_KEY = "auditloom.shared.folder"   # may be set at run time, unlike spark.checkpoint.dir
 SCOPE_KEY = "auditloom.shared.scope"     # the folder of the open scope of a session
+NARROW_ROWS = 250_000                    # rows of a few numbers or digests that a task reads
 
 
 def set_shared_folder(spark, folder):
@@ -79,6 +81,15 @@ def staged(df, name="stage"):
     return write_staged(df, new_path(df.sparkSession, name))
 
 
+def few_tasks(df, rows):
+    """``df`` in a task per ``NARROW_ROWS`` of the ``rows`` its last stage reads, or per core if that is more.
+
+    For tables of narrow rows that are about to be staged. Where there are many more shuffle partitions,
+    each would write a file that costs more than its rows; more partitions than there are, are never made.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / NARROW_ROWS)))
+
+
 def spread_small(df, key="row_id"):
     """Give a scan of fewer splits than cores to all cores; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

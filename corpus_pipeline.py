@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from auditloom.llm import mixing, packing, simhash, stream_dedup, toxicity
 from auditloom.llm.common import let_workers_import, table
 from auditloom.llm.queries import tokenizer_path
-from auditloom.storage import new_path, remove, scope, staged, write_staged
+from auditloom.storage import few_tasks, new_path, remove, scope, staged, write_staged
 
 _scratch = {}   # folder of intermediate tables by application, input folder and place, for stages run one by one
 
@@ -42,13 +42,14 @@ def drop_near_copies(spark, docs, sf_dir):
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text"), whole.alias("doc"))
     rows = staged(rows, "candidates")
+    n = rows.count()
     found = simhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
-    ids = staged(rows.select("row", "doc_id").join(found, "row"), "components")
+    ids = staged(few_tasks(rows.select("row", "doc_id").join(found, "row"), 2 * n), "components")
     named = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     keep = ids.groupBy("component").agg(F.min(named).alias("first")).select("first.row")
     # the dropped rows are few as a rule: where their table is small, Spark shuffles no document
-    dropped = staged(ids.join(keep, "row", "left_anti").select("row"), "dropped")
+    dropped = staged(few_tasks(ids.join(keep, "row", "left_anti").select("row"), 2 * n), "dropped")
     return rows.join(dropped, "row", "left_anti").select("doc.*")
 
 

@@ -1,7 +1,9 @@
+import pytest
+
 import corpus_pipeline as pipeline
 from auditloom.llm import toxicity
 from auditloom.llm.queries import tokenizer_path
-from tests.llm.rows import awkward_documents, empty_documents, ordered
+from tests.llm.rows import DOCUMENTS, awkward_documents, empty_documents, ordered
 from tests.llm.test_mixing import expected as mixed
 from tests.llm.test_packing import check
 from tests.llm.test_simhash import brute_fingerprint, brute_links, roots
@@ -89,3 +91,31 @@ def test_run_keeps_the_intermediate_tables_of_one_stage(spark, tmp_path, monkeyp
         assert out.count() > 0
     finally:
         spark.conf.unset("auditloom.shared.scope")
+
+
+@pytest.mark.parametrize("name", ["exact dedup", "simhash near-dedup"])
+def test_narrow_tables_are_written_by_few_tasks_whatever_the_shuffle_partitions(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setitem(pipeline.__dict__, "_scratch", {})
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "auditloom.shared.scope": str(tmp_path)}
+    before = {key: spark.conf.get(key, None) for key in held}
+    rows = [(i, f"w{i % 150} w{i % 7} common words of text {i % 150}", "en", "s", 20) for i in range(300)]
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        docs = spark.createDataFrame(rows, DOCUMENTS)
+        kept = ordered(i for i, _ in pairs(stage(name)(spark, docs, FOLDER)))
+        files = {}
+        for table in tmp_path.glob("*/*"):
+            files[table.name.rsplit("-", 1)[0]] = len(list(table.glob("part-*")))
+        if name == "exact dedup":
+            assert kept == ordered(max(ids) for ids in groups([r[:2] for r in rows]).values())
+            narrow = {"groups", "decided"}
+        else:
+            assert kept == one_per_component([r[:2] for r in rows])
+            narrow = {"classes", "named", "components", "parents", "frontier"}
+        assert narrow <= set(files)
+        assert all(files[t] <= spark.sparkContext.defaultParallelism for t in narrow), files
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

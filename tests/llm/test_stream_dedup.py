@@ -74,3 +74,8 @@ def test_filter_lets_every_hit_through(spark, slots):
     assert {i for i in range(20_000) if i % 10 == 0} <= found
     assert slots == 1 << 15 or len(found) < 4500
     assert op._may_hit(rows, hits.limit(0), "digest").count() == 0
+
+
+def test_stores_keep_no_threads_for_checksum_files(spark):
+    session = op._stream_session(spark)
+    assert session.conf.get("spark.sql.streaming.checkpoint.fileChecksum.enabled") == "false"

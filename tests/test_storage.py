@@ -1,6 +1,6 @@
 import os
 
-from auditloom.storage import new_path, remove, scope, staged
+from auditloom.storage import NARROW_ROWS, few_tasks, new_path, remove, scope, staged
 
 
 def files(path):
@@ -30,3 +30,12 @@ def test_scope_ends_with_an_error(spark):
     except KeyError:
         pass
     assert not new_path(spark, "x").startswith(path + "/")
+
+
+def test_few_tasks_follow_the_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 600, 1, 60)
+    assert few_tasks(rows, 600).rdd.getNumPartitions() == cores
+    assert few_tasks(rows, 30 * NARROW_ROWS).rdd.getNumPartitions() == 30
+    assert few_tasks(rows, 900 * NARROW_ROWS).rdd.getNumPartitions() == 60   # no more than there are
+    assert few_tasks(rows, 600).count() == 600
